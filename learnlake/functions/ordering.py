@@ -55,19 +55,15 @@ def cut_points(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
 
 def add_buckets(df: DataFrame, cuts: dict[str, list[float]], suffix: str = "_bucket") -> DataFrame:
     """Add ``<column><suffix>`` = number of cut points ``<= value`` for each column in ``cuts``."""
-    split = {c: points for c, points in cuts.items() if points}
-    if split:
-        inf = float("inf")
-        bucketizer = Bucketizer(
-            splitsArray=[[-inf, *[p for p in points if -inf < p < inf], inf] for points in split.values()],
-            inputCols=list(split), outputCols=[c + suffix for c in split], handleInvalid="keep",
-        )
-        # One cut point at infinity leaves no border at all; Bucketizer wants at least two buckets.
-        if all(len(s) >= 3 for s in bucketizer.getSplitsArray()):
-            df = bucketizer.transform(df)
-        else:
-            split = {}
-    return df.withColumns({c + suffix: F.lit(0.0) for c in cuts if c not in split})
+    inf = float("inf")
+    inner = {c: [p for p in points if -inf < p < inf] for c, points in cuts.items()}
+    inner = {c: points for c, points in inner.items() if points}
+    if inner:
+        df = Bucketizer(
+            splitsArray=[[-inf, *points, inf] for points in inner.values()],
+            inputCols=list(inner), outputCols=[c + suffix for c in inner], handleInvalid="keep",
+        ).transform(df)
+    return df.withColumns({c + suffix: F.lit(0.0) for c in cuts if c not in inner})
 
 
 def _stacked(df: DataFrame, columns: Sequence[str], cuts: dict[str, list[float]]) -> DataFrame:
