@@ -45,6 +45,6 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     The digest adds up 48-bit prefixes of the rows' MD5, so it combines on the map side.
     """
     columns = list(columns or df.columns)
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
     prefix = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(20,0)")
     return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(prefix), F.lit(0)).alias("digest"))
