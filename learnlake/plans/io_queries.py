@@ -26,6 +26,13 @@ def csv_roundtrip(v: Views) -> DataFrame:
     return tables.read_csv(v.spark, _csv_folder(v, students), students.schema)
 
 
+@query("csv_inferred_types", """
+    SELECT * REPLACE (CAST(num_of_prev_attempts AS BIGINT) AS num_of_prev_attempts,
+                      CAST(studied_credits AS BIGINT) AS studied_credits) FROM v_student_info""")
+def csv_inferred_types(v: Views) -> DataFrame:
+    return tables.read_csv(v.spark, _csv_folder(v, v.student_info))
+
+
 @query("provenance_stamp", """
     SELECT *, 'studentRegistration.csv' AS _source_file, 'course_csv' AS _source_system, true AS stamped
     FROM v_registration""")

@@ -13,13 +13,43 @@ from learnlake.operators.features import COURSE
 
 # Order of the rows within a Bronze table, as in the files they came from.
 FILE_ORDER = ["_source_file", "_source_block", "_ingest_seq"]
+# What the text of a typed column looks like, narrowest type first. 18 digits always fit a long.
+PATTERNS = {
+    "bigint": r"^[+-]?[0-9]{1,18}$",
+    "double": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$",
+    "boolean": r"^([Tt]rue|TRUE|[Ff]alse|FALSE)$",
+}
 PROVENANCE = ["_ingest_ts", "_source_file", "_source_system", "_source_block", "_ingest_seq"]
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header; types are inferred only when no schema is given, as that reads the data twice."""
-    reader = spark.read.option("header", True).option("nullValue", "")
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = True
+) -> DataFrame:
+    """CSV with a header row; an empty field is null.
+
+    With a schema, the header has to match it. Otherwise all columns are text, or with ``infer`` get the
+    narrowest of long, double, boolean and text that holds every value, at the price of one more pass.
+    """
+    reader = spark.read.option("header", True).option("nullValue", "").option("enforceSchema", False)
+    if schema is not None:
+        return reader.schema(schema).csv(path)
+    raw = reader.csv(path)
+    return _with_inferred_types(raw) if infer else raw
+
+
+def _with_inferred_types(raw: DataFrame) -> DataFrame:
+    """Spark's own inference would read a presentation code like 2014D as a double, and day texts as dates."""
+    candidates = list(PATTERNS)
+    fits = raw.agg(*[
+        F.count_if(~F.trim(F.col(f"`{c}`")).rlike(PATTERNS[kind])).alias(f"{i}_{kind}")
+        for i, c in enumerate(raw.columns) for kind in candidates
+    ]).first()
+    typed = []
+    for i, c in enumerate(raw.columns):
+        kind = next((k for k in candidates if fits[f"{i}_{k}"] == 0), "string")
+        value = F.col(f"`{c}`") if kind == "string" else F.trim(F.col(f"`{c}`")).cast(kind)
+        typed.append(value.alias(c))
+    return raw.select(*typed)
 
 
 def stamp_provenance(
@@ -79,12 +109,16 @@ def ingest_csv(
     filenames: Iterable[str],
     schemas: Mapping[str, StructType | str] | None = None,
     source_system: str = "csv",
+    infer: bool = True,
 ) -> dict[str, str]:
-    """Land each CSV file in Bronze; returns dataset name -> path."""
+    """Land each CSV file in Bronze; returns dataset name -> path.
+
+    Without inference Bronze holds the text as it came, and contracts type it on the way to Silver.
+    """
     written = {}
     for filename in filenames:
         name = dataset_name(filename)
-        raw = read_csv(spark, f"{source_dir}/{filename}", (schemas or {}).get(name))
+        raw = read_csv(spark, f"{source_dir}/{filename}", (schemas or {}).get(name), infer)
         written[name] = write_parquet(
             stamp_provenance(raw, source_system, filename), f"{bronze_dir}/{name}.parquet")
     return written
