@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -21,6 +22,7 @@ ACCURACY = 10_000
 # A bucket at most this large is ordered as it is; a larger one is cut again.
 ROWS_PER_BUCKET = 2_000_000
 SMALL_TABLE_ROWS = 10_000
+MAX_COMPARISONS = 32
 
 
 def small_or_plain(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
@@ -45,32 +47,55 @@ def _finite(name: str) -> Column:
 
 
 def cut_points(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """Approximate quantiles of all columns in one aggregate, sorted and without repeats."""
+    """Cut points per column at approximate quantiles, from one aggregate."""
     accuracy = max(ACCURACY, 10 * len(probs))
     row = df.agg(*[
         F.percentile_approx(_finite(c), list(probs), accuracy).alias(f"q{i}") for i, c in enumerate(columns)
     ]).first()
-    return {c: sorted(set(row[i] or [])) for i, c in enumerate(columns)}
+    return {c: sorted(_with_ties_apart(row[i] or [])) for i, c in enumerate(columns)}
+
+
+def _with_ties_apart(points: Sequence[float]) -> set[float]:
+    """The points, plus the next larger number after each repeated one.
+
+    A value that fills several quantiles thereby gets a bucket of its own, which needs no ordering.
+    """
+    repeated = {p for p, n in Counter(points).items() if n > 1}
+    return set(points) | {math.nextafter(p, math.inf) for p in repeated}
+
+
+def cuts_passed(value: Column, cuts: Sequence[float]) -> Column:
+    """Number of cut points ``<= value`` (repeats count each), as plain comparisons inside generated code."""
+    passed = F.lit(0)
+    for cut in cuts:
+        passed = passed + (value >= F.lit(float(cut))).cast("int")
+    return passed
 
 
 def add_buckets(df: DataFrame, cuts: dict[str, list[float]], suffix: str = "_bucket") -> DataFrame:
-    """Add ``<column><suffix>`` = number of cut points ``<= value`` for each column in ``cuts``."""
+    """Add ``<column><suffix>`` = number of cut points ``<= value``, for each double column in ``cuts``.
+
+    Few cut points are compared one by one; many are searched in log time by Spark ML's ``Bucketizer``.
+    """
     inf = float("inf")
-    inner = {c: [p for p in points if -inf < p < inf] for c, points in cuts.items()}
-    inner = {c: points for c, points in inner.items() if points}
-    if inner:
+    many = {
+        c: [p for p in points if -inf < p < inf] for c, points in cuts.items() if len(points) > MAX_COMPARISONS}
+    if many:
         df = Bucketizer(
-            splitsArray=[[-inf, *points, inf] for points in inner.values()],
-            inputCols=list(inner), outputCols=[c + suffix for c in inner], handleInvalid="keep",
+            splitsArray=[[-inf, *points, inf] for points in many.values()],
+            inputCols=list(many), outputCols=[c + suffix for c in many], handleInvalid="keep",
         ).transform(df)
-    return df.withColumns({c + suffix: F.lit(0.0) for c in cuts if c not in inner})
+    return df.withColumns({
+        c + suffix: F.col(c + suffix).cast("int") if c in many else cuts_passed(F.col(c), points)
+        for c, points in cuts.items()
+    })
 
 
 def _stacked(df: DataFrame, columns: Sequence[str], cuts: dict[str, list[float]]) -> DataFrame:
     """Long form (feature, value, bucket) of the non-null values."""
     wide = add_buckets(df.select(*[_finite(c).alias(c) for c in columns]), cuts)
     items = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"{c}_bucket").cast("int").alias("bucket"))
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"{c}_bucket").alias("bucket"))
         for c in columns
     ]
     return wide.select(F.inline(F.array(*items))).filter("value IS NOT NULL")
@@ -91,7 +116,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         counts = {(r.feature, r.bucket): r.n for r in
                   stacked.groupBy("feature", "bucket").agg(F.count("*").alias("n")).collect()}
         wanted = _locate(columns, counts, probs)
-        crowded = {(f, b) for f, b, _ in wanted if counts[f, b] > ROWS_PER_BUCKET}
+        crowded = {
+            (f, b) for f, b, _ in wanted if counts[f, b] > ROWS_PER_BUCKET and not _single_value(cuts[f], b)}
         finer = _refine(stacked, crowded, cuts) if crowded else cuts
         if finer == cuts:
             break
@@ -158,8 +184,13 @@ def _interpolate(feature, counts, probs, values) -> list[float | None]:
     return out
 
 
+def _single_value(cuts: list[float], bucket: int) -> bool:
+    """Whether bucket number ``bucket`` lies between a value and the next larger one."""
+    return 0 < bucket < len(cuts) and cuts[bucket] == math.nextafter(cuts[bucket - 1], math.inf)
+
+
 def _refine(stacked: DataFrame, crowded: set, cuts: dict[str, list[float]], parts: int = 64) -> dict[str, list[float]]:
-    """Cut every crowded bucket into about ``parts`` more; unchanged when ties leave nothing to cut."""
+    """Cut every crowded bucket into about ``parts`` smaller ones, with frequent values apart."""
     only = F.broadcast(stacked.sparkSession.createDataFrame(sorted(crowded), "feature string, bucket int"))
     probs = [i / parts for i in range(parts + 1)]
     rows = (
@@ -168,7 +199,7 @@ def _refine(stacked: DataFrame, crowded: set, cuts: dict[str, list[float]], part
     )
     finer = {c: set(points) for c, points in cuts.items()}
     for row in rows:
-        finer[row.feature] |= set(row.points)
+        finer[row.feature] |= _with_ties_apart(row.points)
     return {c: sorted(points) for c, points in finer.items()}
 
 

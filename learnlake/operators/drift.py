@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.functions.columns import numeric_columns
-from learnlake.functions.ordering import add_buckets, exact_quantiles
+from learnlake.functions.ordering import cuts_passed, exact_quantiles
 
 # Added to every bin share so that an empty bin has a finite logarithm; drift threshold.
 EPSILON = 1e-9
@@ -21,14 +21,16 @@ def _inner_edges(expected: DataFrame, features: Sequence[str], bins: int) -> dic
 
 
 def _bin_counts(expected: DataFrame, actual: DataFrame, features: list[str], bins: int) -> DataFrame:
-    """(feature, e, a): arrays of row counts per bin. One aggregate, whose shuffle holds a row per feature."""
+    """(feature, e, a): arrays of row counts per bin. The data are shuffled as one row per bin and map task."""
     edges = _inner_edges(expected, features, bins)
     both = _binned(expected, features, edges, True).unionByName(_binned(actual, features, edges, False))
+    cells = both.groupBy("feature", "bin", "is_expected").agg(F.count("*").alias("n"))
 
     def counts(side: Column) -> Column:
-        return F.array(*[F.count_if(side & (F.col("bin") == b)) for b in range(bins)])
+        return F.array(*[
+            F.coalesce(F.sum(F.when(side & (F.col("bin") == b), F.col("n"))), F.lit(0)) for b in range(bins)])
 
-    counted = both.groupBy("feature").agg(
+    counted = cells.groupBy("feature").agg(
         counts(F.col("is_expected")).alias("e"), counts(~F.col("is_expected")).alias("a"))
     # A feature without any value still gets its line.
     every = expected.sparkSession.createDataFrame([(f,) for f in features], "feature string")
@@ -54,18 +56,14 @@ def psi_bins(
 
 def _binned(df: DataFrame, features: list[str], edges: dict[str, list[float | None]], is_expected: bool) -> DataFrame:
     """(feature, bin, is_expected) for the values that are neither null nor NaN."""
-    known = {c: [e for e in edges[c] if e is not None] for c in features}
-    distinct = {c: sorted(set(known[c])) for c in features}
-    values = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in features]
-    wide = add_buckets(df.select(*values), distinct)
-    pairs = []
-    for c in features:
-        # Bucket k of the distinct edges is bin (number of edges, repeats included, up to the k-th).
-        upto = [sum(e <= d for e in known[c]) for d in distinct[c]]
-        position = F.get(F.array(F.lit(0), *[F.lit(u) for u in upto]), F.col(f"{c}_bucket").cast("int"))
-        pairs.append(F.struct(F.lit(c).alias("feature"), F.when(F.col(c).isNotNull(), position).alias("bin")))
+    def bin_of(c: str) -> Column:
+        value = F.col(c).cast("double")
+        passed = cuts_passed(value, [e for e in edges[c] if e is not None])
+        return F.when(value.isNotNull() & ~F.isnan(value), passed)
+
+    pairs = [F.struct(F.lit(c).alias("feature"), bin_of(c).alias("bin")) for c in features]
     return (
-        wide.select(F.inline(F.array(*pairs))).filter("bin IS NOT NULL")
+        df.select(F.inline(F.array(*pairs))).filter("bin IS NOT NULL")
         .withColumn("is_expected", F.lit(is_expected))
     )
 

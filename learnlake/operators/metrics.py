@@ -102,6 +102,6 @@ def calibration_table(
         raise ValueError("strategy must be 'quantile' or 'uniform'")
     kept = df.select(F.col(label).cast("double").alias("y"), F.col(score).cast("double").alias("s")).na.drop()
     binned = add_buckets(kept, {"s": edges})
-    return binned.groupBy((F.col("s_bucket").cast("int") + 1).alias("bin")).agg(
+    return binned.groupBy((F.col("s_bucket") + 1).alias("bin")).agg(
         F.count("*").alias("n"), F.avg("s").alias("mean_score"), F.avg("y").alias("positive_share"),
     )

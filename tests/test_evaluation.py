@@ -114,6 +114,19 @@ def test_exact_quantiles_refine_crowded_buckets(spark, monkeypatch):
     assert got["c"] == [None, None, None]
 
 
+def test_exact_quantiles_with_one_very_frequent_value(spark, monkeypatch):
+    """A third of the rows share one value, far more than a bucket may hold: few rounds, exact result."""
+    monkeypatch.setattr(ordering, "ROWS_PER_BUCKET", 100)
+    rounds, refine = [], ordering._refine
+    monkeypatch.setattr(ordering, "_refine", lambda *a: rounds.append(1) or refine(*a))
+    df = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, 0.25).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000003)) / 1000003).alias("x"))
+    values = df.toPandas()["x"]
+    probs = [0.1, 0.25, 0.4, 0.5, 0.9]
+    assert ordering.exact_quantiles(df, ["x"], probs)["x"] == pytest.approx(np.quantile(values, probs))
+    assert len(rounds) <= 4
+
+
 def test_quantiles_skip_null_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "x double")
     assert ordering.exact_quantiles(df, ["x"], [0.5])["x"] == [2.0]
