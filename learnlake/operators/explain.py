@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlake.operators.train import predict_proba, SCORE
+from learnlake.operators.train import SCORE
 
 CONTRIBUTIONS = "array<struct<feature: string, contribution: double>>"
 
@@ -117,7 +117,7 @@ def _attribute(leaf: Leaf, x: np.ndarray, nodes: np.ndarray, weights: np.ndarray
 def explain_tree(
     df: DataFrame, model_dir: str, names: Sequence[str], keys: Sequence[str]
 ) -> DataFrame:
-    """Path-dependent tree attribution for every row, on the log-odds scale.
+    """Path-dependent tree attribution for every row, on the log-odds scale, next to the row's risk score.
 
     Narrow: each task works on its own batches. The leaves travel in the task closure; their number is
     fixed by the model's tree count and depth, not by the data.
@@ -137,19 +137,22 @@ def explain_tree(
             total = np.zeros((len(x), width))
             for leaf in splitting:
                 total[:, leaf.features] += _attribute(leaf, x, nodes, weights)
-            yield batch[keys].assign(values=list(total))
+            yield batch[[*keys, SCORE]].assign(values=list(total))
 
-    rows = model.transform(df).select(*keys, vector_to_array("features").alias("x"))
-    schema = ", ".join([*(f"`{c}` {kind}" for c, kind in df.select(*keys).dtypes), "values array<double>"])
+    rows = model.transform(df).select(
+        *keys, vector_to_array("probability")[1].alias(SCORE), vector_to_array("features").alias("x"))
+    schema = ", ".join([
+        *(f"`{c}` {kind}" for c, kind in df.select(*keys).dtypes), f"{SCORE} double, values array<double>"])
     named = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("values").alias("contribution"))
     explained = rows.mapInPandas(attribute, schema)
-    return explained.select(*keys, F.lit(base).alias("base_value"), named.cast(CONTRIBUTIONS).alias("contributions"))
+    return explained.select(
+        *keys, SCORE, F.lit(base).alias("base_value"), named.cast(CONTRIBUTIONS).alias("contributions"))
 
 
-def margins(df: DataFrame, model: PipelineModel, keys: Sequence[str]) -> DataFrame:
-    """(keys, risk_score, margin): the score and its log-odds, which base value plus contributions equal."""
-    scored = predict_proba(model, df)
-    return scored.select(*keys, SCORE, F.ln(F.col(SCORE) / (1 - F.col(SCORE))).alias("margin"))
+def attribution_gap(explained: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, gap): base value plus contributions, minus the log-odds of the score. Zero up to rounding."""
+    total = F.aggregate("contributions", F.col("base_value"), lambda acc, c: acc + c["contribution"])
+    return explained.select(*keys, (total - F.ln(F.col(SCORE) / (1 - F.col(SCORE)))).alias("gap"))
 
 
 # ------------------------------------------------------------------ reports

@@ -71,10 +71,11 @@ def classification_metrics(
 def fairness_metrics(
     df: DataFrame, label: str, score: str, slices: Sequence[str], threshold: float = 0.5
 ) -> DataFrame:
-    """The metrics for every value of every slice column, all columns in one job."""
+    """The metrics for every value of every slice column, all columns in one job, sorted by slice."""
     pairs = [F.struct(F.lit(c).alias("slice_col"), F.col(c).cast("string").alias("slice_value")) for c in slices]
     long = df.select(label, score, F.inline(F.array(*pairs)))
-    return classification_metrics(long, label, score, threshold, ["slice_col", "slice_value"])
+    by = ["slice_col", "slice_value"]
+    return classification_metrics(long, label, score, threshold, by).orderBy(*by)
 
 
 def cv_summary(per_fold: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:

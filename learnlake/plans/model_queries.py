@@ -68,12 +68,22 @@ def stream_score(v: Views) -> DataFrame:
     return v.spark.read.parquet(target).drop("model_version")
 
 
-@query("explain_tree")
-def explain_tree(v: Views) -> DataFrame:
+def _explained(v: Views) -> DataFrame:
     rows, (model, manifest, _, _) = _trained(v, "boosted_a", {"maxIter": 5, "maxDepth": 4})
     run = train.save_model(v.spark, model, manifest, shared_path(v.spark, "explained"))
-    explained = explain.explain_tree(rows, f"{run}/model", manifest.feature_columns, KEYS)
-    return explain.top_contributions(explained, 10)
+    return explain.explain_tree(rows, f"{run}/model", manifest.feature_columns, KEYS)
+
+
+@query("explain_tree")
+def explain_tree(v: Views) -> DataFrame:
+    return explain.top_contributions(_explained(v), 10)
+
+
+@query("explain_tree_adds_up", f"SELECT {K}, true AS adds_up FROM v_student_info")
+def explain_tree_adds_up(v: Views) -> DataFrame:
+    """For every student, base value and contributions sum to the log-odds of the score."""
+    gaps = explain.attribution_gap(_explained(v), KEYS)
+    return gaps.select(*KEYS, (F.abs("gap") < 1e-6).alias("adds_up"))
 
 
 @query("score_labelled", """

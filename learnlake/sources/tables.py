@@ -7,7 +7,7 @@ from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from learnlake.operators.features import COURSE
 
@@ -95,11 +95,14 @@ def write_gold(df: DataFrame, path: str) -> str:
     return write_parquet(df, path, COURSE)
 
 
-def read_gold(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Gold with string partition columns, whatever a presentation code looks like (2014D is no double)."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.parquet(path)
-    return df.withColumns({c: F.col(c).cast("string") for c in COURSE}) if schema is None else df
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """Gold with text partition columns, whatever a presentation code looks like (2014D is no double).
+
+    Stating the schema does that in any session; both reads are lazy.
+    """
+    schema = spark.read.parquet(path).schema
+    stated = StructType([StructField(f.name, StringType()) if f.name in COURSE else f for f in schema.fields])
+    return spark.read.schema(stated).parquet(path)
 
 
 def ingest_csv(

@@ -157,6 +157,19 @@ def test_shared_paths_come_from_the_session(spark):
     assert shared_path(spark, "a").startswith(root) and shared_path(spark, "a") != shared_path(spark, "a")
 
 
+def test_gold_keeps_codes_that_look_like_numbers(spark, tmp_path):
+    df = spark.createDataFrame([(1, "007", "2014D"), (2, "007", "2013E")], "id_student long, code_module string, code_presentation string")
+    path = tables.write_gold(df, str(tmp_path / "gold"))
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        rows = tables.read_gold(spark, path).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert {(r.code_module, r.code_presentation) for r in rows} == {("007", "2014D"), ("007", "2013E")}
+
+
 def test_gold_partition_layout(spark, tmp_path, student_info, registration, no_assessments, no_submissions, vle, student_vle):
     gold = build_gold(student_info, registration, no_assessments, no_submissions, vle, student_vle)
     path = tables.write_gold(gold, str(tmp_path / "gold"))

@@ -79,10 +79,11 @@ def test_record_defaults_and_alignment(spark):
 def test_attributions_add_up_to_the_margin(spark, gold, trained):
     model, manifest, _, run = trained
     explained = explain.explain_tree(gold, f"{run}/model", manifest.feature_columns, KEYS)
-    total = F.aggregate("contributions", F.col("base_value"), lambda a, c: a + c["contribution"])
-    both = explained.select(*KEYS, total.alias("total")).join(explain.margins(gold, model, KEYS), KEYS)
-    assert both.count() == 600
-    assert both.agg(F.max(F.abs(F.col("total") - F.col("margin")))).first()[0] < 1e-6
+    gaps = explain.attribution_gap(explained, KEYS)
+    assert gaps.count() == 600
+    assert gaps.agg(F.max(F.abs("gap"))).first()[0] < 1e-6
+    same = explained.join(train.predict_proba(model, gold).withColumnRenamed("risk_score", "s"), KEYS)
+    assert same.filter("abs(s - risk_score) > 1e-12").count() == 0
 
 
 def _tree_game(leaves, x, present):
