@@ -15,6 +15,8 @@ from learnlake.functions.columns import dense_week, mean_of_present, non_negativ
 from learnlake.operators.registry import FEATURE_GROUPS, LABEL, ZERO_FILLED_PREFIXES
 
 COURSE = ["code_module", "code_presentation"]
+# Activity types up to this number are tracked as bits, 64 to a column.
+MAX_MASKED_TYPES = 512
 
 
 def with_known_keys(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
@@ -142,37 +144,27 @@ def cumulative_score(
 # ------------------------------------------------------------------ clicks
 
 
-def with_activity_type(student_vle: DataFrame, vle: DataFrame) -> DataFrame:
-    """Clicks with the activity type of their site; one type per site, so no click is counted twice."""
-    if "activity_type" not in vle.columns:
-        return student_vle
-    sites = vle.groupBy("id_site").agg(F.min("activity_type").alias("activity_type"))
-    return student_vle.join(sites, "id_site", "left")
+def _sites(vle: DataFrame) -> DataFrame:
+    """One activity type per site, so that no click is counted twice."""
+    return vle.groupBy("id_site").agg(F.min("activity_type").alias("activity_type"))
 
 
-def _vle_aggregates(resource: str, approx: bool) -> list[Column]:
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    return [
-        F.coalesce(F.sum("sum_click"), F.lit(0)).alias("total_clicks"),
-        distinct("date").alias("active_days"),
-        F.avg("sum_click").alias("mean_clicks_per_day"),
-        F.max("sum_click").alias("max_clicks_in_day"),
-        distinct(resource).alias("n_resource_types"),
-    ]
+def with_activity_type(student_vle: DataFrame, vle: DataFrame) -> DataFrame:
+    """Clicks with the activity type of their site, where the site table has types."""
+    return student_vle.join(_sites(vle), "id_site", "left") if "activity_type" in vle.columns else student_vle
 
 
-def _clicks_in_week(week: int) -> Column:
+def _clicks_in_week(week: int, clicks: str = "sum_click") -> Column:
     """Clicks of one week as a conditional sum: no pivot, no second shuffle."""
     inside = F.col("date").between(7 * (week - 1), 7 * week - 1)
-    return F.coalesce(F.sum(F.when(inside, F.col("sum_click"))), F.lit(0))
+    return F.coalesce(F.sum(F.when(inside, F.col(clicks))), F.lit(0))
 
 
-def _temporal_aggregates(horizon: int) -> list[Column]:
-    started = F.col("date") >= 0
+def _temporal_aggregates(horizon: int, clicks: str, spread: Column) -> list[Column]:
     return [
-        *[_clicks_in_week(w).alias(f"clicks_week_{w}") for w in range(1, horizon + 1)],
-        F.max(F.when(started, F.col("date"))).alias("last_day"),
-        F.stddev_samp(F.when(started, F.col("sum_click"))).alias("session_duration_variance"),
+        *[_clicks_in_week(w, clicks).alias(f"clicks_week_{w}") for w in range(1, horizon + 1)],
+        F.max(F.when(F.col("date") >= 0, F.col("date"))).alias("last_day"),
+        spread.alias("session_duration_variance"),
     ]
 
 
@@ -187,32 +179,111 @@ def _temporal_columns(horizon: int) -> list[Column]:
     ]
 
 
-def vle_features(
-    student_vle: DataFrame, vle: DataFrame, approx: bool = False, as_of_day: int | None = None
-) -> DataFrame:
-    """Click totals, active days and resource variety per student and course, over all days."""
-    clicks = with_activity_type(_up_to(student_vle, "date", as_of_day), vle)
-    resource = "activity_type" if "activity_type" in clicks.columns else "id_site"
-    return with_known_keys(clicks).groupBy(*KEYS).agg(*_vle_aggregates(resource, approx))
+def _type_masks(vle: DataFrame) -> tuple[DataFrame, list[str]] | None:
+    """(sites with one bit per activity type in 64-bit mask columns, names of those columns).
 
+    None when the types are unknown or too many for masks.
+    """
+    if "activity_type" not in vle.columns:
+        return None
+    types = vle.filter(F.col("activity_type").isNotNull()).select("activity_type").distinct().take(MAX_MASKED_TYPES + 1)
+    if len(types) > MAX_MASKED_TYPES:
+        return None
+    numbered = vle.sparkSession.createDataFrame(
+        [(r.activity_type, i // 64, i % 64) for i, r in enumerate(types)], "activity_type string, word int, bit int")
+    masks = [f"types_{w}" for w in range(max(1, -(-len(types) // 64)))]
+    bits = [F.when(F.col("word") == w, F.expr("shiftleft(1L, bit)")).alias(m) for w, m in enumerate(masks)]
+    return _sites(vle).join(F.broadcast(numbered), "activity_type", "left").select("id_site", *bits), masks
+
+
+def _by_day(student_vle: DataFrame, sites: DataFrame, masks: list[str]) -> DataFrame:
+    """Clicks per student, course and day: what all click features need, in fixed-size numbers."""
+    click = F.col("sum_click").cast("bigint")
+    return with_known_keys(student_vle.join(sites, "id_site", "left")).groupBy(*KEYS, "date").agg(
+        F.sum(click).alias("clicks"), F.count(click).alias("rows"), F.max("sum_click").alias("most"),
+        F.sum(click * click).alias("squares"), *[F.bit_or(m).alias(m) for m in masks])
+
+
+def _whole_clicks(student_vle: DataFrame) -> bool:
+    return dict(student_vle.dtypes)["sum_click"] in ("tinyint", "smallint", "int", "bigint")
+
+
+def _spread() -> Column:
+    """Sample standard deviation of the clicks since the first day, from sums per day.
+
+    For whole clicks ``n * squares - sum * sum`` is exact in decimals, so nothing cancels.
+    """
+    def total(c: str) -> Column:
+        return F.sum(F.when(F.col("date") >= 0, F.col(c)))
+
+    n, clicks, squares = (total(c).cast("decimal(19,0)") for c in ("rows", "clicks", "squares"))
+    scatter = (n * squares - clicks * clicks).cast("double")
+    rows = total("rows").cast("double")
+    return F.when(rows > 1, F.sqrt(scatter / (rows * (rows - 1))))
 
-def temporal_features(student_vle: DataFrame, horizon: int = 4, as_of_day: int | None = None) -> DataFrame:
-    """Weekly clicks, growth, recency and click spread, for students active since the first day."""
-    clicks = with_known_keys(_up_to(student_vle, "date", as_of_day)).filter("date >= 0")
-    return clicks.groupBy(*KEYS).agg(*_temporal_aggregates(horizon)).select(*KEYS, *_temporal_columns(horizon))
+
+def _from_days(student_vle: DataFrame, sites: DataFrame, masks: list[str], horizon: int) -> DataFrame:
+    """All click features in two aggregates: by day, then by student and course.
+
+    Distinct days and distinct types become a count and an OR of bits, where ``count_distinct`` would send
+    every row three times. The first shuffle spreads a busy student over all days; the second one gets a
+    single partial row per key and task.
+    """
+    types = F.lit(0)
+    for m in masks:
+        types = types + F.bit_count(F.coalesce(F.bit_or(m), F.lit(0).cast("bigint")))
+    aggregates = [
+        F.coalesce(F.sum("clicks"), F.lit(0)).alias("total_clicks"),
+        F.count("date").alias("active_days"),
+        F.try_divide(F.sum("clicks"), F.sum("rows")).alias("mean_clicks_per_day"),
+        F.max("most").alias("max_clicks_in_day"),
+        types.cast("bigint").alias("n_resource_types"),
+        *_temporal_aggregates(horizon, "clicks", _spread()),
+    ]
+    return _by_day(student_vle, sites, masks).groupBy(*KEYS).agg(*aggregates)
+
+
+def _from_rows(student_vle: DataFrame, vle: DataFrame, horizon: int, approx: bool) -> DataFrame:
+    """The same features straight from the rows: for approximate counts, fractional clicks, types beyond masks."""
+    clicks = with_activity_type(student_vle, vle)
+    resource = "activity_type" if "activity_type" in clicks.columns else "id_site"
+    distinct = F.approx_count_distinct if approx else F.count_distinct
+    spread = F.stddev_samp(F.when(F.col("date") >= 0, F.col("sum_click")))
+    return with_known_keys(clicks).groupBy(*KEYS).agg(
+        F.coalesce(F.sum("sum_click"), F.lit(0)).alias("total_clicks"),
+        distinct("date").alias("active_days"),
+        F.avg("sum_click").alias("mean_clicks_per_day"),
+        F.max("sum_click").alias("max_clicks_in_day"),
+        distinct(resource).alias("n_resource_types"),
+        *_temporal_aggregates(horizon, "sum_click", spread),
+    )
 
 
 def activity_features(
     student_vle: DataFrame, vle: DataFrame, horizon: int = 4, approx: bool = False, as_of_day: int | None = None
 ) -> DataFrame:
     """``vle_features`` and ``temporal_features`` in one pass over the clicks, for Gold."""
-    clicks = with_activity_type(_up_to(student_vle, "date", as_of_day), vle)
-    resource = "activity_type" if "activity_type" in clicks.columns else "id_site"
-    aggregates = [*_vle_aggregates(resource, approx), *_temporal_aggregates(horizon)]
-    return (
-        with_known_keys(clicks).groupBy(*KEYS).agg(*aggregates)
-        .select(*KEYS, *FEATURE_GROUPS["vle_activity"], *_temporal_columns(horizon))
-    )
+    clicks = _up_to(student_vle, "date", as_of_day)
+    masked = _type_masks(vle) if _whole_clicks(clicks) and not approx else None
+    grouped = _from_days(clicks, *masked, horizon) if masked else _from_rows(clicks, vle, horizon, approx)
+    return grouped.select(*KEYS, *FEATURE_GROUPS["vle_activity"], *_temporal_columns(horizon))
+
+
+def vle_features(
+    student_vle: DataFrame, vle: DataFrame, approx: bool = False, as_of_day: int | None = None
+) -> DataFrame:
+    """Click totals, active days and resource variety per student and course, over all days.
+
+    Aggregates of columns that are not selected are pruned by the optimizer.
+    """
+    return activity_features(student_vle, vle, 1, approx, as_of_day).select(*KEYS, *FEATURE_GROUPS["vle_activity"])
+
+
+def temporal_features(student_vle: DataFrame, horizon: int = 4, as_of_day: int | None = None) -> DataFrame:
+    """Weekly clicks, growth, recency and click spread, for students active since the first day."""
+    clicks = with_known_keys(_up_to(student_vle, "date", as_of_day)).filter("date >= 0")
+    aggregates = _temporal_aggregates(horizon, "sum_click", F.stddev_samp("sum_click"))
+    return clicks.groupBy(*KEYS).agg(*aggregates).select(*KEYS, *_temporal_columns(horizon))
 
 
 def weekly_clicks(student_vle: DataFrame) -> DataFrame:
@@ -236,7 +307,8 @@ def rolling_clicks(student_vle: DataFrame, window_weeks: tuple[int, ...] = (1, 2
 def activity_frequency(student_vle: DataFrame, horizon: int = 4) -> DataFrame:
     """Active days per elapsed week within the horizon."""
     inside = with_known_keys(student_vle).filter(F.col("date").between(0, 7 * horizon - 1))
-    return inside.groupBy(*KEYS).agg((F.count_distinct("date") / F.lit(horizon)).alias("active_days_per_week"))
+    days = inside.select(*KEYS, "date").distinct()
+    return days.groupBy(*KEYS).agg((F.count("*") / F.lit(horizon)).alias("active_days_per_week"))
 
 
 def weekly_sequence(student_vle: DataFrame, length: int = 30) -> DataFrame:

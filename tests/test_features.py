@@ -1,3 +1,5 @@
+from statistics import stdev
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +145,39 @@ def test_hot_student_equals_uniform_computation(spark, vle):
     assert len(got) == len({r[2] for r in rows})
 
 
+@pytest.mark.parametrize("types", [1, 64, 65, 150])
+def test_day_level_equals_row_level(spark, types):
+    """Bit masks over one or several words against plain distinct counts; null days, clicks and types included."""
+    clicks = spark.range(5000).selectExpr(
+        "'A' AS code_module", "'P' AS code_presentation", "id % 40 AS id_student", "id * 31 % 200 AS id_site",
+        "CASE WHEN id % 17 > 0 THEN CAST(id % 35 - 3 AS INT) END AS date",
+        "CASE WHEN id % 13 > 0 THEN CAST(id * id % 1000 AS INT) END AS sum_click")
+    sites = spark.range(190).selectExpr("id AS id_site", f"CASE WHEN id % 19 > 0 THEN concat('t', id % {types}) END AS activity_type")
+    masked = ft._type_masks(sites)
+    assert len(masked[1]) == -(-types // 64)
+    days = by_student(ft._from_days(clicks, *masked, 4))
+    rows = by_student(ft._from_rows(clicks, sites, 4, False))
+    assert set(days) == set(rows)
+    for student, row in rows.items():
+        assert days[student].asDict() == pytest.approx(row.asDict(), nan_ok=True)
+
+
+def test_fractional_clicks(spark, vle):
+    clicks = spark.createDataFrame(
+        [("A", "P", 1, 100, d, c) for d, c in ((0, 0.5), (1, 1.25), (1, 4.0))],
+        "code_module string, code_presentation string, id_student long, id_site long, date long, sum_click double")
+    row = ft.activity_features(clicks, vle).first()
+    assert row.total_clicks == 5.75 and row.session_duration_variance == pytest.approx(stdev([0.5, 1.25, 4.0]))
+
+
+def test_too_many_types_fall_back_to_distinct_counts(spark, student_vle, vle, monkeypatch):
+    monkeypatch.setattr(ft, "MAX_MASKED_TYPES", 2)
+    own = vle.withColumn("activity_type", F.col("id_site").cast("string"))
+    assert ft._type_masks(own) is None
+    rows = by_student(ft.activity_features(student_vle, own))
+    assert (rows[1].n_resource_types, rows[2].n_resource_types) == (3, 2)
+
+
 def test_gold_plan_is_jvm_only_without_cross_joins_or_windows(gold):
     plan = gold._jdf.queryExecution().optimizedPlan().toString()
     assert not any(word in plan for word in ("PythonUDF", "Window", "Cross"))
