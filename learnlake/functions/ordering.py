@@ -38,7 +38,7 @@ def small_or_plain(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
 
 def default_buckets(df: DataFrame) -> int:
     """A few buckets per shuffle task, within what one aggregate row can carry."""
-    return max(32, min(4096, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return max(32, min(16_384, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _finite(name: str) -> Column:

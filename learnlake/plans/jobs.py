@@ -102,8 +102,9 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--config")
     parser.add_argument("--stages", nargs="+", default=STAGES, choices=STAGES)
+    parser.add_argument("--input-tb", type=float, help="raw input size, to size scan and shuffle tasks")
     args = parser.parse_args()
-    spark = build_session("learnlake")
+    spark = build_session("learnlake", input_bytes=args.input_tb * 2**40 if args.input_tb else None)
     run(spark, load_config(args.config), args.stages)
     spark.stop()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -18,12 +19,30 @@ DEFAULTS = {
 }
 
 
-def build_session(app_name: str = "learnlake", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the library defaults; ``conf`` uses ``__`` for dots in setting names."""
+def sized_for(input_bytes: float, task_bytes: int = 256 * 2**20, shuffled_share: float = 0.5) -> dict[str, str]:
+    """Settings that keep scan and shuffle tasks near ``task_bytes`` for an input of this size.
+
+    ``shuffled_share`` is the part of the input that reaches a shuffle after pruning and map-side
+    aggregation. AQE then merges what turns out smaller and splits what turns out skewed.
+    """
+    partitions = max(200, math.ceil(input_bytes * shuffled_share / task_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
+def build_session(
+    app_name: str = "learnlake", master: str | None = None, input_bytes: float | None = None, **conf: str
+) -> SparkSession:
+    """Session with the library defaults, sized for an input if given; ``conf`` uses ``__`` for dots in names."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = DEFAULTS | {name.replace("__", "."): value for name, value in conf.items()}
+    sizes = sized_for(input_bytes) if input_bytes else {}
+    settings = DEFAULTS | sizes | {name.replace("__", "."): value for name, value in conf.items()}
     for name, value in settings.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

@@ -19,6 +19,7 @@ def spark():
     session.stop()
 
 
+# The hand-made student, click, site and registration rows the expected results refer to.
 @pytest.fixture(scope="session")
 def student_info(spark):
     return spark.createDataFrame(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from learnlake.operators import train
 from learnlake.operators.features import build_gold
 from learnlake.plans import jobs
-from learnlake.session import shared_path, shared_root
+from learnlake.session import shared_path, shared_root, sized_for
 from learnlake.sources import events, tables
 from learnlake.streaming import bronze
 
@@ -151,6 +151,11 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(str, batch)) == sorted(map(str, spark.read.parquet(str(tmp_path / "out")).drop(*drop).collect()))
 
 
+def test_task_sizes_follow_the_input():
+    assert sized_for(2**30)["spark.sql.shuffle.partitions"] == "200"
+    assert int(sized_for(100 * 2**40)["spark.sql.shuffle.partitions"]) == 100 * 2**40 // 2 // (256 * 2**20)
+
+
 def test_shared_paths_come_from_the_session(spark):
     root = shared_root(spark)
     assert spark.conf.get("spark.checkpoint.dir") == root
