@@ -64,12 +64,11 @@ def _with_ties_apart(points: Sequence[float]) -> set[float]:
     return set(points) | {math.nextafter(p, math.inf) for p in repeated}
 
 
-def cuts_passed(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points ``<= value`` (repeats count each), as plain comparisons inside generated code."""
-    passed = F.lit(0)
-    for cut in cuts:
-        passed = passed + (value >= F.lit(float(cut))).cast("int")
-    return passed
+def cuts_passed(column: str, cuts: Sequence[float]) -> Column:
+    """Number of cut points ``<= column`` (repeats count each), as plain comparisons inside generated code."""
+    if not cuts:
+        return F.lit(0)
+    return F.expr(" + ".join(f"int(double(`{column}`) >= double('{float(cut)!r}'))" for cut in cuts))
 
 
 def add_buckets(df: DataFrame, cuts: dict[str, list[float]], suffix: str = "_bucket") -> DataFrame:
@@ -86,7 +85,7 @@ def add_buckets(df: DataFrame, cuts: dict[str, list[float]], suffix: str = "_buc
             inputCols=list(many), outputCols=[c + suffix for c in many], handleInvalid="keep",
         ).transform(df)
     return df.withColumns({
-        c + suffix: F.col(c + suffix).cast("int") if c in many else cuts_passed(F.col(c), points)
+        c + suffix: F.col(c + suffix).cast("int") if c in many else cuts_passed(c, points)
         for c, points in cuts.items()
     })
 

@@ -57,9 +57,8 @@ def psi_bins(
 def _binned(df: DataFrame, features: list[str], edges: dict[str, list[float | None]], is_expected: bool) -> DataFrame:
     """(feature, bin, is_expected) for the values that are neither null nor NaN."""
     def bin_of(c: str) -> Column:
-        value = F.col(c).cast("double")
-        passed = cuts_passed(value, [e for e in edges[c] if e is not None])
-        return F.when(value.isNotNull() & ~F.isnan(value), passed)
+        known = F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+        return F.when(known, cuts_passed(c, [e for e in edges[c] if e is not None]))
 
     pairs = [F.struct(F.lit(c).alias("feature"), bin_of(c).alias("bin")) for c in features]
     return (
