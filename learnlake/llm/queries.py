@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from learnlake.llm import language, simhash
+from learnlake.llm import disclosure, language, mixing, repetition, simhash
 from learnlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,5 +20,18 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op3_simhash_near_dedup)}
-ORACLES: dict[str, str] = {}
+def op5_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.quality_of_documents(documents(spark, sf_dir))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_of_documents(documents(spark, sf_dir))
+
+
+def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.personal_data(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_language_id, op3_simhash_near_dedup, op5_repetition_quality, op6_source_mixing, op10_pii_disclosure)}
+ORACLES: dict[str, str] = {"op6_source_mixing": mixing.SQL}
