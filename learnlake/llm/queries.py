@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from learnlake.llm import disclosure, language, mixing, repetition, simhash
+from learnlake.llm import disclosure, language, mixing, packing, repetition, simhash, token_blocks
 from learnlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +29,19 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_of_documents(documents(spark, sf_dir))
 
 
+def op7_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.personal_data(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_language_id, op3_simhash_near_dedup, op5_repetition_quality, op6_source_mixing, op10_pii_disclosure)}
+    op1_language_id, op3_simhash_near_dedup, op5_repetition_quality, op6_source_mixing, op7_token_blocks, op8_packing,
+    op10_pii_disclosure)}
 ORACLES: dict[str, str] = {"op6_source_mixing": mixing.SQL}
