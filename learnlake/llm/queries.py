@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from learnlake.llm import disclosure, language, mixing, packing, repetition, simhash, token_blocks
+from learnlake.llm import (
+    disclosure,
+    language,
+    mixing,
+    order_minhash,
+    packing,
+    repetition,
+    simhash,
+    token_blocks,
+)
 from learnlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +30,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir))
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints_of_documents(documents(spark, sf_dir))
+
+
 def op5_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_of_documents(documents(spark, sf_dir))
 
@@ -42,6 +55,6 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_language_id, op3_simhash_near_dedup, op5_repetition_quality, op6_source_mixing, op7_token_blocks, op8_packing,
-    op10_pii_disclosure)}
+    op1_language_id, op3_simhash_near_dedup, op4_order_minhash, op5_repetition_quality, op6_source_mixing,
+    op7_token_blocks, op8_packing, op10_pii_disclosure)}
 ORACLES: dict[str, str] = {"op6_source_mixing": mixing.SQL}
