@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from functools import lru_cache
 from pathlib import Path
 
-import numpy as np
 from tokenizers import Tokenizer
 
 # Pieces and pre-tokens kept per generation; a worker holds at most two generations of each.
@@ -32,6 +32,10 @@ _BLANKS = re.compile(r" (?:\s|\Z)")
 _BYTE_CHUNKS = re.compile(r"(?s).[^ ]*(?: (?!\S)[^ ]*)*")
 
 
+def _little_endian(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Recent(dict):
     """A dictionary in two generations: when the younger is full it becomes the elder, and the elder is forgotten."""
 
@@ -39,15 +43,20 @@ class _Recent(dict):
         super().__init__()
         self.elder: dict = {}
 
-    def lacking(self, keys: set) -> list:
-        """Keys in neither generation; those in the elder are taken over."""
+    def age(self) -> None:
         if len(self) > CACHED:
             self.elder = dict(self)
             self.clear()
+
+    def lacking(self, keys: set) -> set:
+        """Keys in neither generation; those in the elder are taken over."""
+        self.age()
         missing = keys.difference(self)
-        for key in missing & self.elder.keys():
-            self[key] = self.elder[key]
-        return [k for k in missing if k not in self]
+        if self.elder:
+            known = missing.intersection(self.elder)
+            self.update(zip(known, map(self.elder.__getitem__, known), strict=True))
+            missing -= known
+        return missing
 
 
 class PieceEncoder:
@@ -68,20 +77,35 @@ class PieceEncoder:
         self._pieces, self._pretokens = _Recent(), _Recent()
 
     def _model_ids(self, pretoken: str) -> bytes:
-        spelled = pretoken.encode().decode("latin-1").translate(self._characters)
-        return np.array([t.id for t in self._library.model.tokenize(spelled)], "<u4").tobytes()
-
-    def _fill(self, pieces: list[str]) -> None:
-        """Put the ids of ``pieces``, as they stand in a text, into the cache."""
-        split = {p: self._parts.findall(p if self._byte_level else p.lower()) for p in pieces
-                 if self._plain.fullmatch(p)}
-        for part in self._pretokens.lacking({x for parts in split.values() for x in parts}):
-            self._pretokens[part] = self._model_ids(part)
-        for piece, parts in split.items():
-            self._pieces[piece] = b"".join([self._pretokens[x] for x in parts])
-        others = [p for p in pieces if p not in split]
+        if pretoken.isascii():
+            # Of the ASCII characters used in plain pieces only these two are spelled otherwise.
+            spelled = pretoken.replace(" ", self._characters[32]).replace("\n", self._characters[10])
+        else:
+            spelled = pretoken.encode().decode("latin-1").translate(self._characters)
+        return _little_endian([t.id for t in self._library.model.tokenize(spelled)])
+
+    def _fill(self, pieces: set[str]) -> None:
+        """Put the ids of ``pieces``, as they stand in a text, into the cache.
+
+        One piece after the other, without collections of their parts, which the garbage collector would walk.
+        """
+        others, known, elder = [], self._pretokens, self._pretokens.elder
+        plain, parts_of, byte_level = self._plain.fullmatch, self._parts.findall, self._byte_level
+        for piece in pieces:
+            if not plain(piece):
+                others.append(piece)
+                continue
+            ids = b""
+            for part in parts_of(piece if byte_level else piece.lower()):
+                found = known.get(part)
+                if found is None:
+                    found = elder.get(part)
+                    known[part] = found = self._model_ids(part) if found is None else found
+                ids += found
+            self._pieces[piece] = ids
+        known.age()
         for piece, found in zip(others, self._library.encode_batch(others, add_special_tokens=False), strict=True):
-            self._pieces[piece] = np.array(found.ids, "<u4").tobytes()
+            self._pieces[piece] = _little_endian(found.ids)
 
     def _cut(self, text: str) -> list[str]:
         if not self._byte_level:
