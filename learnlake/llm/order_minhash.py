@@ -11,6 +11,8 @@ and hashing all group by the part as well, so they need no further exchange.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,13 +29,19 @@ EMPTY = "-" * DIGITS
 RANGES = 4
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, although ``use`` refers to it in lambda functions."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def kmer_hashes(text: Column, k: int = K) -> Column:
     """Hashes of the runs of k words in order; fewer words are one k-mer, none give an empty array."""
-    words = F.split(F.btrim(text, F.lit(SPACES)), r"[\x20\x09-\x0D]+")
+    stripped = F.btrim(text, F.lit(SPACES))
     run = lambda w: F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(w) - (k - 1), F.lit(1))),
         lambda i: F.xxhash64(*[F.get(w, i + (j - 1)) for j in range(k)]))
-    return F.when(F.btrim(text, F.lit(SPACES)) == "", F.array().cast("array<bigint>")).otherwise(run(words))
+    hashes = _bound(F.split(stripped, r"[\x20\x09-\x0D]+"), run)
+    return F.when(stripped == "", F.array().cast("array<bigint>")).otherwise(hashes)
 
 
 def sketches(rows: DataFrame) -> DataFrame:
@@ -61,8 +69,8 @@ def sketches(rows: DataFrame) -> DataFrame:
 
     def places(body: Column) -> Column:
         own = F.filter("items", lambda x: x["body"] == body)
-        tuples = F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), lambda s: F.transform(
-            F.filter(own, lambda x: x["sketch"] == s), lambda x: x["h"]))
+        tuples = _bound(own, lambda own: F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), lambda s: F.transform(
+            F.filter(own, lambda x: x["sketch"] == s), lambda x: x["h"])))
         return F.transform(tuples, lambda t: F.when(F.size(t) > 0, F.xxhash64(t)))
 
     return found.select("uid", "meta", "items").select(

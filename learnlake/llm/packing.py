@@ -26,8 +26,10 @@ END_ID = 2
 GRAIN = 8
 SLICE_BYTES = 8 << 20
 # Pieces of a class that are ranked together.
-RANKED_TOGETHER = 20_000
+RANKED_TOGETHER = 2_000
 TOLERANCE = 1e-9
+# Rounds without a better objective after which the search ends.
+STALLED_ROUNDS = 400
 
 
 def pieces(docs: DataFrame, vocabulary: str, keep: list[str], with_ids: bool = False) -> tuple[DataFrame, dict[str, str]]:
@@ -85,7 +87,10 @@ def column_generation(demand: dict[int, int], capacity: int, most_rounds: int =
     """Patterns {size: pieces} and how often each is used, covering ``demand`` {size: pieces} exactly.
 
     Revised simplex over patterns, starting from those of a single size. ``most_rounds`` only bounds the search: the
-    program is feasible from the first round on, so an early end costs sequences and never pieces.
+    program is feasible from the first round on, so an early end costs sequences and never pieces. The search also ends
+    where the dual bound (objective over the best pattern's value) shows that no whole sequence can be saved any more,
+    and after ``STALLED_ROUNDS`` without progress. Demands are shifted a little against one another, as ties between
+    rows may otherwise be exchanged in circles.
     """
     sizes = np.array(sorted(s for s, n in demand.items() if n), np.int64)
     if not len(sizes):
@@ -93,12 +98,18 @@ def column_generation(demand: dict[int, int], capacity: int, most_rounds: int =
     need = np.array([demand[s] for s in sizes.tolist()], float)
     m = len(sizes)
     columns = np.diag((capacity // sizes).astype(float))
-    inverse, costs = np.linalg.inv(columns), np.ones(m)
+    inverse, costs = np.diag(1 / columns.diagonal()), np.ones(m)
+    shifted = need + 1e-3 * np.arange(1, m + 1) / m
+    objective, progress = np.inf, 0
     for round_ in range(most_rounds):
         if round_ % 100 == 99:
             inverse = np.linalg.inv(columns)
-        used = np.maximum(inverse @ need, 0.0)
+        used = np.maximum(inverse @ shifted, 0.0)
         duals = costs @ inverse
+        if (now := float(costs @ used)) < objective - 1e-9:
+            objective, progress = now, round_
+        if round_ - progress > STALLED_ROUNDS:
+            break
         worst = int(duals.argmin())
         if duals[worst] < -TOLERANCE:
             # A surplus: more pieces of a size than wanted cost nothing.
@@ -108,7 +119,7 @@ def column_generation(demand: dict[int, int], capacity: int, most_rounds: int =
             prices = np.zeros(capacity + 1)
             prices[sizes] = np.maximum(duals, 0.0)
             value, pattern = best_pattern(prices, capacity)
-            if value <= 1 + 1e-7:
+            if value <= 1 + 1e-7 or np.ceil(now / value - 0.01) >= np.ceil(now - 0.01):
                 break
             entering, cost = pattern[sizes].astype(float), 1.0
         direction = inverse @ entering
