@@ -5,8 +5,8 @@ puts every numbered k-mer into one of ``SKETCHES`` sketches, each sketch keeps i
 order in which they stand in the text, and the hash of that tuple is one place of the fingerprint: moving text about
 changes it as well as editing does. Likeness is the share of equal places among those that either text fills.
 
-A document's k-mers never leave the task its text is in: texts are dealt out once, by ``part``, and numbering, picking
-and hashing all group by the part as well, so they need no further exchange.
+A text's k-mers stay inside its row: sorting them brings equal ones together in text order, so one fold over the sorted
+array numbers the occurrences and keeps the smallest hashes. No k-mer is exploded or shuffled.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ DIGITS = 8
 EMPTY = "-" * DIGITS
 # Ranges of ids per shuffle partition.
 RANGES = 4
+# Words of a text that can be told apart by position: more than a row can hold.
+POSITION_BITS = 28
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -34,54 +36,62 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def kmer_hashes(text: Column, k: int = K) -> Column:
-    """Hashes of the runs of k words in order; fewer words are one k-mer, none give an empty array."""
+def sorted_kmers(text: Column, k: int = K) -> Column:
+    """The k-mers of a text, sorted, each as 35 bits of hash and below them its position.
+
+    Fewer words than k are one k-mer, no words give an empty array.
+    """
     stripped = F.btrim(text, F.lit(SPACES))
-    run = lambda w: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(w) - (k - 1), F.lit(1))),
-        lambda i: F.xxhash64(*[F.get(w, i + (j - 1)) for j in range(k)]))
-    hashes = _bound(F.split(stripped, r"[\x20\x09-\x0D]+"), run)
-    return F.when(stripped == "", F.array().cast("array<bigint>")).otherwise(hashes)
 
+    def kmers(words: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0))),
+            lambda i: _packed(F.xxhash64(*[F.get(words, i + j) for j in range(k)]), i))
 
-def sketches(rows: DataFrame) -> DataFrame:
-    """(uid, meta, sketched) from rows (part, uid, meta, bodies), which are partitioned by ``part``.
+    found = _bound(F.split(stripped, r"[\x20\x09-\x0D]+"), kmers)
+    return F.sort_array(F.when(stripped == "", F.array().cast("array<bigint>")).otherwise(found))
 
-    ``bodies`` is an array of texts; ``sketched`` has for each of them the tuple hash of each sketch, null where it
-    is empty. ``meta`` is any struct; it travels with the first k-mer of the first text only.
-    """
-    texts = rows.select("part", "uid", "meta", F.posexplode("bodies").alias("body", "text"))
-    kmers = texts.select("part", "uid", "body", "meta", F.posexplode_outer(kmer_hashes(F.col("text"))).alias("at", "kmer"))
-    first = (F.col("body") == 0) & (F.coalesce("at", F.lit(0)) == 0)
-    kmers = kmers.withColumn("meta", F.when(first, F.col("meta")))
-    # The k-mer comes first in the sort: its prefix decides nearly every comparison.
-    nth = F.row_number().over(Window.partitionBy("kmer", "uid", "body", "part").orderBy("at"))
-    h = F.when(F.col("kmer").isNotNull(), F.xxhash64("kmer", nth))
-    hashed = kmers.select("part", "uid", "body", "meta", "at", h.alias("h"))
-    dealt = hashed.withColumn("sketch", F.pmod("h", F.lit(SKETCHES)).cast("int"))
-    dealt = dealt.withColumn("bin", F.xxhash64("uid", "body", "sketch"))
-    rank = F.row_number().over(Window.partitionBy("bin", "uid", "body", "sketch", "part").orderBy("h", "at"))
-    small = F.col("h").isNotNull() & (F.col("rank") <= PICKED)
-    picked = dealt.withColumn("rank", rank).where(small | F.col("meta").isNotNull())
-    item = F.when(small, F.struct("body", "sketch", "at", "h"))
-    found = picked.groupBy("uid", "part").agg(
-        F.first("meta", ignorenulls=True).alias("meta"), F.array_sort(F.collect_list(item)).alias("items"))
-
-    def places(body: Column) -> Column:
-        own = F.filter("items", lambda x: x["body"] == body)
-        tuples = _bound(own, lambda own: F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), lambda s: F.transform(
-            F.filter(own, lambda x: x["sketch"] == s), lambda x: x["h"])))
-        return F.transform(tuples, lambda t: F.when(F.size(t) > 0, F.xxhash64(t)))
-
-    return found.select("uid", "meta", "items").select(
-        "uid", "meta", *[places(F.lit(i)).alias(f"places_{i}") for i in range(2)])
+
+def _packed(digest: Column, position: Column) -> Column:
+    return F.shiftleft(F.shiftrightunsigned(digest, POSITION_BITS + 1), POSITION_BITS).bitwiseOR(position.cast("long"))
+
+
+def sketch_tuples(text: Column) -> Column:
+    """The tuple hash of each sketch, null where it is empty."""
+    nothing = F.lit((1 << 63) - 1)
+    low = F.lit((1 << POSITION_BITS) - 1)
+
+    def step(state: Column, x: Column) -> Column:
+        kmer = F.shiftright(x, POSITION_BITS)
+        nth = F.when(kmer == state["kmer"], state["nth"] + 1).otherwise(F.lit(1))
+        digest = F.xxhash64(kmer, nth)
+        sketch = F.pmod(digest, F.lit(SKETCHES)).cast("int")
+        entry = _packed(digest, x.bitwiseAND(low))
+        kept, old = state["kept"], F.get(state["kept"], sketch)
+        new = F.slice(F.sort_array(F.array_append(old, entry)), 1, PICKED)
+        changed = F.concat(
+            F.slice(kept, 1, sketch), F.array(new), F.slice(kept, sketch + 2, F.lit(SKETCHES)))
+        # Most k-mers are not among the smallest of their sketch and leave everything as it is.
+        kept = F.when(entry < F.get(old, F.lit(PICKED - 1)), changed).otherwise(kept)
+        return F.struct(kmer.alias("kmer"), nth.alias("nth"), kept.alias("kept"))
+
+    start = F.struct(
+        F.lit(-1).cast("long").alias("kmer"), F.lit(0).alias("nth"),
+        F.array_repeat(F.array_repeat(nothing, PICKED), SKETCHES).alias("kept"))
+
+    def place(kept: Column) -> Column:
+        real = F.filter(kept, lambda x: x != nothing)
+        by_position = F.array_sort(F.transform(real, lambda x: F.struct(
+            x.bitwiseAND(low).alias("at"), F.shiftright(x, POSITION_BITS).alias("hash"))))
+        return F.when(F.get(kept, F.lit(0)) != nothing, F.xxhash64(F.transform(by_position, lambda x: x["hash"])))
+
+    return F.aggregate(sorted_kmers(text), start, step, lambda state: F.transform(state["kept"], place))
 
 
 def as_text(places: Column) -> Column:
-    """The fingerprint: ``DIGITS`` hex digits per sketch; null (no words) has all sketches empty."""
-    shown = F.transform(places, lambda p: F.when(p.isNull(), EMPTY).otherwise(
-        F.lower(F.substring(F.lpad(F.hex(p), 16, "0"), 1, DIGITS))))
-    return F.coalesce(F.array_join(shown, ""), F.lit(EMPTY * SKETCHES))
+    """The fingerprint: ``DIGITS`` hex digits per sketch."""
+    return F.array_join(F.transform(places, lambda p: F.when(p.isNull(), EMPTY).otherwise(
+        F.lower(F.substring(F.lpad(F.hex(p), 16, "0"), 1, DIGITS)))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -96,11 +106,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(docs: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and ``fingerprint`` of every row; a null text counts as empty, and equal texts get equal fingerprints."""
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.struct(*keys).alias("meta"),
-        F.array(F.coalesce("text", F.lit(""))).alias("bodies"))
-    dealt = rows.withColumn("part", F.xxhash64("uid")).repartition("part")
-    return sketches(dealt).select("meta.*", as_text(F.col("places_0")).alias("fingerprint"))
+    return docs.select(*keys, as_text(sketch_tuples(F.coalesce("text", F.lit("")))).alias("fingerprint"))
 
 
 def _range_starts(docs: DataFrame) -> list[float]:
@@ -112,7 +118,7 @@ def _range_starts(docs: DataFrame) -> list[float]:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(part, uid, doc_id, text, next_uid, next_text) of every row, partitioned by ``part``.
+    """(uid, doc_id, text, next_uid, next_text) of every row.
 
     The next document follows by ascending doc_id (null first, equal ids by a hash of the text), after the last comes
     the first. Ranges of ids are dealt to parts; the rows with a range's smallest id also visit the range before it,
@@ -137,7 +143,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         "lap", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "uid")
     followed = dealt.repartition("part").select(
         "*", F.lead("uid").over(order).alias("next_uid"), F.lead("text").over(order).alias("next_text"))
-    return followed.where(~F.col("guest")).select("part", "uid", "doc_id", "text", "next_uid", "next_text")
+    return followed.where(~F.col("guest")).select("uid", "doc_id", "text", "next_uid", "next_text")
 
 
 def fingerprints_of_documents(docs: DataFrame) -> DataFrame:
@@ -151,11 +157,10 @@ def fingerprints_of_documents(docs: DataFrame) -> DataFrame:
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - quarter), F.substr("next_text", F.lit(1), quarter))
     rows = rows.withColumn("edited", edited)
-    meta = F.struct("doc_id", "next_uid", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    found = sketches(rows.select("part", "uid", meta.alias("meta"), F.array("text", "edited").alias("bodies")))
-    prints = written(found.select(
-        "uid", "meta.*", as_text(F.col("places_0")).alias("fingerprint"),
-        as_text(F.col("places_1")).alias("edited_fingerprint")), "fingerprints")
+    prints = written(rows.select(
+        "uid", "next_uid", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(sketch_tuples(F.col("text"))).alias("fingerprint"),
+        as_text(sketch_tuples(F.col("edited"))).alias("edited_fingerprint")), "fingerprints")
     following = prints.select(F.col("uid").alias("next_uid"), F.col("fingerprint").alias("next_fingerprint"))
     own = F.col("fingerprint")
     return prints.join(following, "next_uid").select(
