@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+from collections.abc import Callable
 from functools import lru_cache
 from pathlib import Path
 
@@ -37,27 +38,24 @@ def _little_endian(ids: list[int]) -> bytes:
 
 
 class _Recent(dict):
-    """A dictionary in two generations: when the younger is full it becomes the elder, and the elder is forgotten."""
+    """Computed values in two generations: when the younger is full it becomes the elder, and the elder is forgotten."""
 
-    def __init__(self) -> None:
+    def __init__(self, compute: Callable[[str], bytes]) -> None:
         super().__init__()
-        self.elder: dict = {}
+        self._compute, self._elder = compute, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self._elder.get(key)
+        if value is None:
+            value = self._compute(key)
+        self[key] = value
+        return value
 
     def age(self) -> None:
         if len(self) > CACHED:
-            self.elder = dict(self)
+            self._elder = dict(self)
             self.clear()
 
-    def lacking(self, keys: set) -> set:
-        """Keys in neither generation; those in the elder are taken over."""
-        self.age()
-        missing = keys.difference(self)
-        if self.elder:
-            known = missing.intersection(self.elder)
-            self.update(zip(known, map(self.elder.__getitem__, known), strict=True))
-            missing -= known
-        return missing
-
 
 class PieceEncoder:
     """Ids as the library gives them without special tokens; their strings in a text are ordinary text."""
@@ -69,12 +67,16 @@ class PieceEncoder:
         self._byte_level = kind["type"] == "ByteLevel" and kind["use_regex"] and not kind["add_prefix_space"]
         if not self._byte_level and kind["type"] != "Sequence":
             raise ValueError(f"no safe cuts are known for the pre-tokenizer of {path}")
-        self._plain, self._parts = (_BYTE_PLAIN, _BYTE_PARTS) if self._byte_level else (_WORD_PLAIN, _WORD_PARTS)
+        plain, parts = (_BYTE_PLAIN, _BYTE_PARTS) if self._byte_level else (_WORD_PLAIN, _WORD_PARTS)
+        self._is_plain, self._parts_of = plain.fullmatch, parts.findall
         # The published byte-to-character table: printable bytes stand for themselves, others follow from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self._characters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self._pieces, self._pretokens = _Recent(), _Recent()
+        self._pretokens = _Recent(self._model_ids)
+        self._pieces = _Recent(self._piece_ids)
+        # Keyed without the space they begin with, so that the parts of a split text are the keys.
+        self._spaced = _Recent(lambda piece: self._piece_ids(" " + piece))
 
     def _model_ids(self, pretoken: str) -> bytes:
         if pretoken.isascii():
@@ -84,42 +86,28 @@ class PieceEncoder:
             spelled = pretoken.encode().decode("latin-1").translate(self._characters)
         return _little_endian([t.id for t in self._library.model.tokenize(spelled)])
 
-    def _fill(self, pieces: set[str]) -> None:
-        """Put the ids of ``pieces``, as they stand in a text, into the cache.
-
-        One piece after the other, without collections of their parts, which the garbage collector would walk.
-        """
-        others, known, elder = [], self._pretokens, self._pretokens.elder
-        plain, parts_of, byte_level = self._plain.fullmatch, self._parts.findall, self._byte_level
-        for piece in pieces:
-            if not plain(piece):
-                others.append(piece)
-                continue
-            ids = b""
-            for part in parts_of(piece if byte_level else piece.lower()):
-                found = known.get(part)
-                if found is None:
-                    found = elder.get(part)
-                    known[part] = found = self._model_ids(part) if found is None else found
-                ids += found
-            self._pieces[piece] = ids
-        known.age()
-        for piece, found in zip(others, self._library.encode_batch(others, add_special_tokens=False), strict=True):
-            self._pieces[piece] = _little_endian(found.ids)
-
-    def _cut(self, text: str) -> list[str]:
+    def _piece_ids(self, piece: str) -> bytes:
+        if not self._is_plain(piece):
+            return _little_endian(self._library.encode(piece, add_special_tokens=False).ids)
+        parts = self._parts_of(piece if self._byte_level else piece.lower())
+        return b"".join(map(self._pretokens.__getitem__, parts))
+
+    def _encode(self, text: str) -> bytes:
         if not self._byte_level:
-            return text.replace("\n", " ").split(" ")
+            return b"".join(map(self._pieces.__getitem__, text.replace("\n", " ").split(" ")))
         if _BLANKS.search(text):
-            return _BYTE_CHUNKS.findall(text)
+            return b"".join(map(self._pieces.__getitem__, _BYTE_CHUNKS.findall(text)))
         first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]]
+        return self._piece_ids(first) + b"".join(map(self._spaced.__getitem__, rest))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self._cut(t) for t in texts]
-        self._fill(self._pieces.lacking(set().union(*cut)))
-        return [b"".join(map(self._pieces.__getitem__, c)) for c in cut]
+        encoded = []
+        for text in texts:
+            encoded.append(self._encode(text))
+            for recent in (self._pretokens, self._pieces, self._spaced):
+                recent.age()
+        return encoded
 
 
 @lru_cache(maxsize=2)

@@ -16,6 +16,8 @@ from learnlake.llm import (
     repetition,
     simhash,
     token_blocks,
+    url_filter,
+    wordpiece,
 )
 from learnlake.llm.common import documents
 
@@ -26,6 +28,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_of_documents(documents(spark, sf_dir))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir))
 
@@ -50,11 +56,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return wordpiece.token_counts(documents(spark, sf_dir), vocabulary, ["doc_id"])
+
+
 def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.personal_data(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_language_id, op3_simhash_near_dedup, op4_order_minhash, op5_repetition_quality, op6_source_mixing,
-    op7_token_blocks, op8_packing, op10_pii_disclosure)}
-ORACLES: dict[str, str] = {"op6_source_mixing": mixing.SQL}
+    op1_language_id, op2_url_filter, op3_simhash_near_dedup, op4_order_minhash, op5_repetition_quality,
+    op6_source_mixing, op7_token_blocks, op8_packing, op9_token_counts, op10_pii_disclosure)}
+ORACLES: dict[str, str] = {"op2_url_filter": url_filter.SQL, "op6_source_mixing": mixing.SQL}
