@@ -34,6 +34,11 @@ def _integral(value: Column) -> Column:
     return F.when(value == F.floor(value), value.try_cast("bigint"))
 
 
+def known(column: Column, kind: str) -> Column:
+    """The value, or null where a floating-point column holds NaN: both mean missing."""
+    return F.when(~F.isnan(column), column) if kind in ("double", "float") else column
+
+
 def cast_or_null(column: Column, source: str, target: str) -> Column:
     """Cast to a contract type; values that do not fit become null.
 
@@ -42,13 +47,14 @@ def cast_or_null(column: Column, source: str, target: str) -> Column:
     if target not in TYPES:
         raise ValueError(f"unknown contract type {target!r}; known: {sorted(TYPES)}")
     spark_type = TYPES[target]
+    column = known(column, source)
     if source == spark_type:
         return column
     if spark_type == "bigint" and source == "string":
         return F.coalesce(column.try_cast("bigint"), _integral(column.try_cast("double")))
     if spark_type == "bigint" and (source in ("double", "float") or source.startswith("decimal")):
         return _integral(column.cast("double"))
-    return column.try_cast(spark_type)
+    return known(column.try_cast(spark_type), spark_type)
 
 
 def dense_week(day: Column) -> Column:

@@ -240,7 +240,8 @@ def running_totals(
 
 def hash_order(keys: Sequence[str], seed: int | str) -> Column:
     """Reproducible random order of rows: an MD5 of the seed and the key values."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    # A missing value is a value of its own: concat_ws would skip it and let (null, a) equal (a, null).
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys]))
 
 
 def hash_thresholds(

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learnlake.functions.columns import present, strip
+from learnlake.functions.columns import known, present, strip
 from learnlake.functions.ordering import exact_quantiles
 from learnlake.operators.registry import LABEL
 
@@ -34,14 +34,14 @@ def _modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
     """
     out = {}
     for c in columns:
-        counted = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
+        counted = df.filter(known(F.col(c), dict(df.dtypes)[c]).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
         best = counted.orderBy(F.desc("n"), F.asc("value")).first()
         out[c] = best.value if best else None
     return out
 
 
 def fill_missing(df: DataFrame, strategies: Mapping[str, str]) -> DataFrame:
-    """Fill nulls by column: ``median``, ``mode``, ``zero``, or any other text as the literal itself."""
+    """Fill nulls, and NaN in floating-point columns, by column: ``median``, ``mode``, ``zero``, or any other text as the literal itself."""
     kinds = dict(df.dtypes)
     wanted = {c: s for c, s in strategies.items() if c in kinds}
     medians = [c for c, s in wanted.items() if s == "median"]
@@ -56,7 +56,7 @@ def fill_missing(df: DataFrame, strategies: Mapping[str, str]) -> DataFrame:
             continue
         # A median may fall between two whole numbers, so that column becomes double.
         kind = "double" if c in medians else kinds[c]
-        filled[c] = F.coalesce(F.col(c).cast(kind), F.lit(value).cast(kind))
+        filled[c] = F.coalesce(known(F.col(c), kinds[c]).cast(kind), F.lit(value).cast(kind))
     return df.withColumns(filled)
 
 

@@ -11,7 +11,7 @@ import yaml
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from learnlake.functions.columns import TYPES, cast_or_null, present
+from learnlake.functions.columns import TYPES, cast_or_null, known, present
 
 
 class ContractViolation(ValueError):
@@ -64,11 +64,11 @@ class TableContract:
         return {c.name: cast_or_null(F.col(c.name), kinds[c.name], c.type) for c in self._present(df)}
 
     def _broken(self, df: DataFrame) -> dict[tuple[str, str], Column]:
-        casts = self._casts(df)
+        casts, kinds = self._casts(df), dict(df.dtypes)
         return {
             (c.name, rule): bad
             for c in self._present(df)
-            for rule, bad in c.broken(F.col(c.name), casts[c.name]).items()
+            for rule, bad in c.broken(known(F.col(c.name), kinds[c.name]), casts[c.name]).items()
         }
 
     def cast(self, df: DataFrame) -> DataFrame:
@@ -78,6 +78,8 @@ class TableContract:
     def report(self, df: DataFrame) -> DataFrame:
         """(column, rule, bad): bad rows per rule, from a single aggregate over the table."""
         broken = self._broken(df)
+        if not broken:
+            return df.sparkSession.createDataFrame([], "column string, rule string, bad long")
         counts = df.agg(*[F.count_if(bad).alias(f"r{i}") for i, bad in enumerate(broken.values())])
         lines = [
             F.struct(F.lit(column).alias("column"), F.lit(rule).alias("rule"), F.col(f"r{i}").alias("bad"))
@@ -139,8 +141,9 @@ def load_contract(path: str | Path) -> TableContract:
 
 
 def missingness_profile(df: DataFrame) -> DataFrame:
-    """(column, n_null, null_share) for every column, from one aggregate."""
-    counts = df.agg(F.count("*").alias("n"), *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    """(column, n_null, null_share), NaN counting as null, for every column, from one aggregate."""
+    counts = df.agg(F.count("*").alias("n"), *[
+        F.count(known(F.col(c), kind)).alias(f"c{i}") for i, (c, kind) in enumerate(df.dtypes)])
     lines = [
         F.struct(F.lit(c).alias("column"), (F.col("n") - F.col(f"c{i}")).alias("n_null"))
         for i, c in enumerate(df.columns)

@@ -13,8 +13,6 @@ from learnlake.operators.registry import CATEGORICAL
 
 # Fixed value: the category that stands for a missing one.
 UNKNOWN = "UNK"
-# Every one-hot category becomes a column, so their number is limited by what a schema can hold.
-MAX_ONE_HOT_COLUMNS = 5_000
 
 
 def _text(column: str) -> Column:
@@ -28,11 +26,12 @@ def _distinct_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, list[str]]:
-    """Sorted categories per column; they name the output columns, hence they come to the driver."""
+    """Sorted categories per column; they name the output columns, hence they come to the driver.
+
+    For more categories than a schema should have columns, ``train.feature_stages`` encodes into a sparse vector.
+    """
     columns = list(columns or present(df, CATEGORICAL))
-    rows = _distinct_categories(df, columns).take(MAX_ONE_HOT_COLUMNS + 1)
-    if len(rows) > MAX_ONE_HOT_COLUMNS:
-        raise ValueError(f"more than {MAX_ONE_HOT_COLUMNS} categories in {columns}: use fit_ordinal instead")
+    rows = _distinct_categories(df, columns).collect()
     return {c: sorted(r.value for r in rows if r["column"] == c) for c in columns}
 
 

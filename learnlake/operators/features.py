@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnlake import KEYS
-from learnlake.functions.columns import dense_week, mean_of_present, non_negative, present
+from learnlake.functions.columns import dense_week, known, mean_of_present, non_negative, present
 from learnlake.operators.registry import FEATURE_GROUPS, LABEL, ZERO_FILLED_PREFIXES
 
 COURSE = ["code_module", "code_presentation"]
@@ -39,8 +39,10 @@ def base_projection(student_info: DataFrame) -> DataFrame:
     return student_info.select(*present(student_info, wanted))
 
 
-def registration_features(registration: DataFrame, order_by: list[str] | None = None) -> DataFrame:
-    """Days to (un)registration of the first row per key, first by ``order_by``.
+def registration_features(
+    registration: DataFrame, order_by: list[str] | None = None, as_of_day: int | None = None
+) -> DataFrame:
+    """Days to (un)registration of the first row per key, first by ``order_by``; a day after ``as_of_day`` is null.
 
     ``min`` over a struct keeps one candidate per key and map task, where a window would sort whole groups.
     """
@@ -50,9 +52,13 @@ def registration_features(registration: DataFrame, order_by: list[str] | None =
     if not values:
         return known.select(*KEYS).distinct()
     first = F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by or [])], *values))
+    def seen(c: str) -> Column:
+        day = F.col(f"first.{c}")
+        return day if as_of_day is None else F.when(day <= as_of_day, day)
+
     return (
         known.groupBy(*KEYS).agg(first.alias("first"))
-        .select(*KEYS, *[F.col(f"first.{c}").alias(renamed[c]) for c in values])
+        .select(*KEYS, *[seen(c).alias(renamed[c]) for c in values])
     )
 
 
@@ -92,6 +98,7 @@ def assessment_features(
     dimension = assessments.join(expected, COURSE, "left")
     late = (F.col("late_days") > 0).cast("int")
     facts = _up_to(submissions(student_assessment, dimension, "expected"), "date_submitted", as_of_day)
+    facts = facts.withColumn("score", known(F.col("score"), dict(facts.dtypes)["score"]))
     submitted = (
         with_known_keys(facts).groupBy(*KEYS).agg(
             F.count("id_assessment").alias("n_assessments_submitted"),
@@ -346,7 +353,7 @@ def build_gold(
     """
     base = base_projection(student_info)
     parts = [
-        registration_features(registration, registration_order),
+        registration_features(registration, registration_order, as_of_day),
         assessment_features(
             assessments, student_assessment, null_due, as_of_day, missed_for_inactive,
             base if missed_for_inactive else None,

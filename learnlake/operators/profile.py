@@ -42,9 +42,11 @@ def head(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(n_rows, digest): the same for the same rows in any order or partitioning.
 
-    The digest adds up 48-bit prefixes of the rows' MD5, so it combines on the map side.
+    A row is hashed as JSON that keeps names, nulls and the bounds of texts. The digest adds up both halves of the
+    rows' MD5, 128 bits in two sums, so it combines on the map side.
     """
     columns = list(columns or df.columns)
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
-    prefix = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(20,0)")
-    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(prefix), F.lit(0)).alias("digest"))
+    text = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"})
+    halves = [F.conv(F.substring(F.md5(text), at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    sums = [F.coalesce(F.sum(half), F.lit(0)).cast("decimal(38,0)").cast("string") for half in halves]
+    return df.agg(F.count("*").alias("n_rows"), F.concat_ws("-", *sums).alias("digest"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.operators.train import SCORE, Manifest, predict_proba, with_inputs
@@ -33,15 +33,17 @@ def align_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] =
     return df.select(*keep, *[value(c).alias(c) for c in features])
 
 
-def complete_record(df: DataFrame, defaults: Mapping[str, object] = RECORD_DEFAULTS) -> DataFrame:
-    """All fields of a scoring record, with its defaults where a column is absent or null."""
+def complete_record(
+    df: DataFrame, defaults: Mapping[str, object] = RECORD_DEFAULTS, keep: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """All fields of a scoring record, with its defaults where a column is absent or null, and the columns in ``keep``."""
     columns = []
     for declaration in RECORD_SCHEMA.split(", "):
         name, kind = declaration.split(" ")
         default = defaults.get(name, 0.0 if kind == "double" else None)
         missing = F.lit(default).cast(kind)
         columns.append((F.coalesce(F.col(name).cast(kind), missing) if name in df.columns else missing).alias(name))
-    return df.select(*columns)
+    return df.select(*columns, *[c.alias(n) for n, c in (keep or {}).items()])
 
 
 def label_scores(

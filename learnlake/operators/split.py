@@ -47,8 +47,12 @@ def stratified_folds(
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int | str = 0, keys: Sequence[str] = KEYS) -> DataFrame:
-    """The ``n`` rows first in hash order; all rows when there are fewer."""
+    """The ``n`` rows first in hash order; all rows when there are fewer.
+
+    Rows with equal keys follow by a hash of all columns; of identical rows as many stay as there is room for. Only
+    the rows up to the last hash, at most ``n`` and its ties, are ordered.
+    """
     hashed = df.withColumn("_h", hash_order(keys, seed))
     row = hash_thresholds(hashed, [], "_h", lambda total: F.array(F.least(total, F.lit(n)).cast("long"))).first()
     last = row.thresholds[0] if row and row.thresholds else ""
-    return hashed.filter(F.col("_h") <= last).drop("_h")
+    return hashed.filter(F.col("_h") <= last).orderBy("_h", F.xxhash64(*df.columns)).limit(n).drop("_h")

@@ -41,7 +41,8 @@ def provenance_stamp(v: Views) -> DataFrame:
     raw = tables.read_csv(v.spark, _csv_folder(v, rows), rows.schema)
     stamped = tables.stamp_provenance(raw, "course_csv", "studentRegistration.csv")
     place = F.col("_ingest_ts").isNotNull() & F.col("_source_block").isNotNull() & F.col("_ingest_seq").isNotNull()
-    return stamped.withColumn("stamped", place).drop("_ingest_ts", "_source_block", "_ingest_seq")
+    return stamped.withColumn("stamped", place).drop(
+        "_ingest_ts", "_source_path", "_source_block", "_ingest_seq")
 
 
 @query("bronze_file_order_dedup", """
@@ -56,6 +57,46 @@ def bronze_file_order_dedup(v: Views) -> DataFrame:
     return deduplicate(stamped, ["id_student"], tables.FILE_ORDER).select(*rows.columns)
 
 
+@query("csv_quoted_fields", """
+    SELECT doc_id, CASE WHEN doc_id % 7 > 0 THEN 'say "' || replace(left(text, 40), chr(10), ' ') || '", you' END AS txt,
+      CASE WHEN doc_id % 5 > 0 THEN n_chars END AS n_chars FROM documents""")
+def csv_quoted_fields(v: Views) -> DataFrame:
+    """Quotes, commas and missing-value texts survive the way through a file, and the columns next to them too."""
+    docs = v.spark.read.parquet(f"{v.sf_dir}/documents.parquet")
+    said = F.concat(F.lit('say "'), F.replace(F.left("text", F.lit(40)), F.lit("\n"), F.lit(" ")), F.lit('", you'))
+    path = shared_path(v.spark, "quoted-csv")
+    docs.select(
+        "doc_id", F.when(F.col("doc_id") % 7 > 0, said).otherwise("NA").alias("txt"),
+        F.when(F.col("doc_id") % 5 > 0, F.col("n_chars").cast("string")).otherwise("NaN").alias("n_chars"),
+    ).write.options(header=True, escape='"').csv(path)
+    return tables.read_csv(v.spark, path)
+
+
+@query("csv_long_ids", """
+    SELECT 1234567890123456000 + doc_id AS id, '9876543210987654321' || doc_id AS beyond FROM documents""")
+def csv_long_ids(v: Views) -> DataFrame:
+    """Ids of 19 digits are read exactly; numbers beyond a long stay text."""
+    docs = v.spark.read.parquet(f"{v.sf_dir}/documents.parquet")
+    path = shared_path(v.spark, "long-ids-csv")
+    beyond = F.concat(F.lit("9876543210987654321"), F.col("doc_id").cast("string"))
+    docs.select((F.lit(1234567890123456000) + F.col("doc_id")).alias("id"), beyond.alias("beyond")).write.csv(path, header=True)
+    return tables.read_csv(v.spark, path)
+
+
+@query("bronze_parts_keep_last", """
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY id_student ORDER BY ord DESC) AS rn FROM v_registration) WHERE rn = 1""")
+def bronze_parts_keep_last(v: Views) -> DataFrame:
+    """Keep-last over a landed folder whose later parts are larger, which Spark reads first."""
+    rows = v.registration
+    root = shared_path(v.spark, "parts")
+    padded = rows.orderBy("ord").withColumn("pad", F.repeat(F.lit("x"), F.spark_partition_id() * 50))
+    padded.write.option("header", True).csv(f"{root}/registration.csv")
+    landed = tables.ingest_csv(v.spark, root, f"{root}/bronze", ["registration.csv"], {"registration": padded.schema})
+    bronze = tables.read_parquet(v.spark, landed["registration"])
+    return deduplicate(bronze, ["id_student"], tables.FILE_ORDER).select(*rows.columns)
+
+
 @query("gold_partitioned_roundtrip", gold_sql(
     f"SELECT {', '.join(KEYS)}, region, total_clicks, n_assessments_submitted, final_result_binary FROM gold"))
 def gold_partitioned_roundtrip(v: Views) -> DataFrame:

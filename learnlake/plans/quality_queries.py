@@ -203,14 +203,17 @@ def table_head(v: Views) -> DataFrame:
 
 @query("dataset_fingerprint", """
     WITH r AS (
-      SELECT md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
-                 CAST(l_linenumber AS VARCHAR), l_returnflag, l_linestatus)) AS h FROM lineitem)
-    SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(h, 1, 12) AS BIGINT)) % 1000000007 AS BIGINT) AS digest
+      SELECT md5('{"l_orderkey":"' || CAST(l_orderkey AS VARCHAR) || '","l_partkey":"' || CAST(l_partkey AS VARCHAR)
+        || '","l_suppkey":"' || CAST(l_suppkey AS VARCHAR) || '","l_linenumber":"' || CAST(l_linenumber AS VARCHAR)
+        || '","l_quantity":"' || CAST(l_quantity AS VARCHAR) || '","l_extendedprice":"' || CAST(l_extendedprice AS VARCHAR)
+        || '","l_discount":"' || CAST(l_discount AS VARCHAR) || '","l_tax":"' || CAST(l_tax AS VARCHAR)
+        || '","l_returnflag":"' || l_returnflag || '","l_linestatus":"' || l_linestatus
+        || '","l_shipdate":"' || CAST(l_shipdate AS VARCHAR) || '"}') AS h FROM lineitem)
+    SELECT count(*) AS n_rows, CAST(sum(CAST(CAST('0x' || substr(h, 1, 16) AS UBIGINT) AS HUGEINT)) AS VARCHAR) || '-'
+      || CAST(sum(CAST(CAST('0x' || substr(h, 17, 16) AS UBIGINT) AS HUGEINT)) AS VARCHAR) AS digest
     FROM r""")
 def dataset_fingerprint(v: Views) -> DataFrame:
-    rows = v.spark.read.parquet(f"{v.sf_dir}/lineitem.parquet")
-    columns = ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus"]
-    return profile.fingerprint(rows, columns).select("n_rows", (F.col("digest") % 1000000007).cast("bigint").alias("digest"))
+    return profile.fingerprint(v.spark.read.parquet(f"{v.sf_dir}/lineitem.parquet"))
 
 
 _ONE_HOT = {

@@ -47,7 +47,7 @@ VIEWS = {
           user_id AS id_student, CAST(@JSONK(props) AS INT) AS id_site, @DAYS(ts; DATE '2024-01-03') AS date,
           CAST(floor(value) AS INT) AS sum_click, event_id AS ord
         FROM events""",
-    "vle": "SELECT p_partkey AS id_site, p_type AS activity_type FROM part WHERE p_partkey < 100",
+    "vle": "SELECT p_partkey AS id_site, p_type AS activity_type FROM part",
     "scored": """
         SELECT doc_id, quality AS y, least(n_chars / CAST(20000 AS DOUBLE), CAST(1 AS DOUBLE)) AS s,
           lang AS slice, source, toxic

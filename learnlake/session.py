@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -51,10 +52,15 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Where it is unset, a temporary folder serves, but only in local mode.
+    Where it is unset, a temporary folder serves, but only in local mode. On a cluster a folder below the machines' own
+    temporary folder is refused: each would have its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", "")
     if root:
+        own = urlsplit(root).path.rstrip("/") + "/"
+        local = urlsplit(root).scheme in ("", "file") and own.startswith(f"{tempfile.gettempdir().rstrip('/')}/")
+        if local and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"spark.checkpoint.dir = {root} lies in a temporary folder of each machine")
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -64,8 +70,11 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh, not yet existing path below the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path below the shared folder; what is written there goes when the application ends."""
+    name = f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return name
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -2,47 +2,73 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from learnlake.operators.features import COURSE
 
-# Order of the rows within a Bronze table, as in the files they came from.
-FILE_ORDER = ["_source_file", "_source_block", "_ingest_seq"]
-# What the text of a typed column looks like, narrowest type first. 18 digits always fit a long.
+# Order of the rows within a Bronze table, as in the files they came from: a table is usually a folder of parts.
+FILE_ORDER = ["_source_path", "_source_block", "_ingest_seq"]
+# Texts that mean a missing value, as the usual CSV readers take them.
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+# What the text of a typed column looks like, narrowest type first; whole numbers also have to fit a long.
+WHOLE = r"^[+-]?[0-9]+$"
 PATTERNS = {
-    "bigint": r"^[+-]?[0-9]{1,18}$",
+    "bigint": WHOLE,
     "double": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$",
     "boolean": r"^([Tt]rue|TRUE|[Ff]alse|FALSE)$",
 }
-PROVENANCE = ["_ingest_ts", "_source_file", "_source_system", "_source_block", "_ingest_seq"]
+PROVENANCE = ["_ingest_ts", "_source_file", "_source_system", "_source_path", "_source_block", "_ingest_seq"]
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = True
+    spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = True,
+    multi_line: bool = False, na_tokens: Sequence[str] = NA_TOKENS,
 ) -> DataFrame:
-    """CSV with a header row; an empty field is null.
+    """CSV with a header row; fields may be quoted, a quote inside is doubled, and ``na_tokens`` are null.
 
     With a schema, the header has to match it. Otherwise all columns are text, or with ``infer`` get the
-    narrowest of long, double, boolean and text that holds every value, at the price of one more pass.
+    narrowest of long, double, boolean and text that holds every value, at the price of one more pass. Whole numbers
+    too long for a long stay text, so that no two ids become one. ``multi_line`` allows line breaks in quoted
+    fields; such files cannot be split.
     """
-    reader = spark.read.option("header", True).option("nullValue", "").option("enforceSchema", False)
+    reader = spark.read.options(header=True, nullValue="", enforceSchema=False, quote='"', escape='"', multiLine=multi_line)
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    raw = reader.csv(path)
+        wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        text = StructType([StructField(f.name, StringType(), True, f.metadata) for f in wanted.fields])
+        raw = _without_na(reader.schema(text).csv(path), na_tokens)
+        return raw.select(*[
+            F.col(f"`{f.name}`").alias(f.name) if isinstance(f.dataType, StringType)
+            else F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
+    raw = _without_na(reader.csv(path), na_tokens)
     return _with_inferred_types(raw) if infer else raw
 
 
+def _without_na(raw: DataFrame, tokens: Sequence[str]) -> DataFrame:
+    """Missing-value texts as null; file metadata stays reachable."""
+    return raw.select(*[F.when(~F.col(f"`{c}`").isin(*tokens), F.col(f"`{c}`")).alias(c) for c in raw.columns])
+
+
 def _with_inferred_types(raw: DataFrame) -> DataFrame:
     """Spark's own inference would read a presentation code like 2014D as a double, and day texts as dates."""
     candidates = list(PATTERNS)
+
+    def unfit(c: str, kind: str) -> Column:
+        text = F.trim(F.col(f"`{c}`"))
+        if kind == "bigint":
+            return text.isNotNull() & ~(text.rlike(WHOLE) & text.try_cast("bigint").isNotNull())
+        # A whole number beyond a long would lose digits as a double.
+        return ~text.rlike(PATTERNS[kind]) | (text.rlike(WHOLE) & text.try_cast("bigint").isNull())
+
     fits = raw.agg(*[
-        F.count_if(~F.trim(F.col(f"`{c}`")).rlike(PATTERNS[kind])).alias(f"{i}_{kind}")
-        for i, c in enumerate(raw.columns) for kind in candidates
+        F.count_if(unfit(c, kind)).alias(f"{i}_{kind}") for i, c in enumerate(raw.columns) for kind in candidates
     ]).first()
     typed = []
     for i, c in enumerate(raw.columns):
@@ -57,8 +83,8 @@ def stamp_provenance(
 ) -> DataFrame:
     """Add ingest time, source and, for rows read from files, their place in the file.
 
-    File order is (file, byte offset of the split, running number). The running number alone would follow
-    the order in which Spark packs splits into tasks, which is by size.
+    File order is (path, byte offset of the split, running number); ``source_file`` is only a label. The running
+    number alone would follow the order in which Spark packs splits into tasks, which is by size.
     """
     name = F.lit(source_file) if source_file is not None else F.col("_metadata.file_name")
     stamps = {
@@ -68,6 +94,7 @@ def stamp_provenance(
     }
     if from_files:
         stamps |= {
+            "_source_path": F.col("_metadata.file_path"),
             "_source_block": F.col("_metadata.file_block_start"),
             "_ingest_seq": F.monotonically_increasing_id(),
         }

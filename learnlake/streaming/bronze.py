@@ -16,7 +16,11 @@ BATCH_SECONDS = 30
 
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str, **options: str) -> DataFrame:
-    """Raw messages of a topic; needs the Kafka connector of the Spark distribution on the class path."""
+    """Raw messages of a topic, its backlog first; needs the Kafka connector of the Spark distribution.
+
+    ``startingOffsets`` only counts for the first start; later ones go on from the checkpoint.
+    """
+    options = {"startingOffsets": "earliest"} | options
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
     return reader.option("subscribe", topic).options(**options).load()
 

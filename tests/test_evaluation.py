@@ -206,3 +206,20 @@ def test_many_classes_fall_back_to_a_shuffle_join(spark, monkeypatch):
 @pytest.mark.parametrize("n", [0, 1, 100, 1003, 5000])
 def test_sample_size(labelled, n):
     assert split.seeded_sample(labelled, n, 0, ["id"]).count() == min(n, 1003)
+
+
+def test_sample_has_exactly_n_rows_on_equal_keys(spark):
+    from learnlake.operators.split import seeded_sample
+
+    frame = spark.createDataFrame([(1, "a", "p", i) for i in range(5)],
+                                  "id_student long, code_module string, code_presentation string, v int")
+    assert seeded_sample(frame, 2).count() == 2 and seeded_sample(frame, 9).count() == 5
+
+
+def test_fingerprint_tells_nulls_and_separators_apart(spark):
+    from learnlake.operators.profile import fingerprint
+
+    a = spark.createDataFrame([("a|b", "c"), ("\\N", "x")], "p string, q string")
+    b = spark.createDataFrame([("a", "b|c"), (None, "x")], "p string, q string")
+    assert fingerprint(a).first().digest != fingerprint(b).first().digest
+    assert fingerprint(a).first() == fingerprint(a.orderBy("q")).first()

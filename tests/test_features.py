@@ -181,3 +181,15 @@ def test_too_many_types_fall_back_to_distinct_counts(spark, student_vle, vle, mo
 def test_gold_plan_is_jvm_only_without_cross_joins_or_windows(gold):
     plan = gold._jdf.queryExecution().optimizedPlan().toString()
     assert not any(word in plan for word in ("PythonUDF", "Window", "Cross"))
+
+
+def test_as_of_day_hides_later_registration_days(spark):
+    from learnlake.operators.features import registration_features
+
+    rows = [("AAA", "2014J", 1, -5, 120), ("AAA", "2014J", 2, 20, 3)]
+    frame = spark.createDataFrame(
+        rows, "code_module string, code_presentation string, id_student long, date_registration long, "
+              "date_unregistration long")
+    got = {r.id_student: (r.days_to_registration, r.days_to_unregistration)
+           for r in registration_features(frame, as_of_day=14).collect()}
+    assert got == {1: (-5, None), 2: (None, 3)}

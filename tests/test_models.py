@@ -162,3 +162,34 @@ def test_leaf_ranges_partition_the_space(spark, trained):
     hits = sum(all(lo < x[f] <= hi for f, lo, hi in zip(leaf.features, leaf.low, leaf.high)) for leaf in leaves)
     assert hits == len(trained[0].stages[-1].trees)
     assert Path(trained[3]).name.startswith("run_")
+
+
+def test_best_rounds_waits_for_patience():
+    assert train.best_rounds([3, 2, 1, 2, 2, 0.5], patience=2) == (3, True)
+    assert train.best_rounds([3, 2, 1, 2, 2, 0.5], patience=4) == (6, False)
+    assert train.best_rounds([1.0]) == (1, False)
+
+
+def test_boosting_keeps_many_rounds_on_a_weak_additive_signal(spark):
+    import math
+    import random
+
+    rnd = random.Random(6)
+    rows = []
+    for i in range(3000):
+        x = [rnd.gauss(0, 1) for _ in range(8)]
+        rows.append((i, "M", "P", *x, int(rnd.random() < 1 / (1 + math.exp(-1.2 * sum(x) / 2)))))
+    columns = ", ".join(f"x{k} double" for k in range(8))
+    frame = spark.createDataFrame(
+        rows, f"id_student long, code_module string, code_presentation string, {columns}, final_result_binary int")
+    marked = train.with_validation(frame, share=0.2).cache()
+    model = train.fit_boosted(marked, {"maxDepth": 2, "stepSize": 0.1}, patience=10)
+    rounds = model.stages[-1].getNumTrees
+    assert rounds > 20
+
+    def loss(fitted):
+        p = train.predict_proba(fitted, marked.filter(train.VALIDATION)).select("risk_score", "final_result_binary").collect()
+        return -sum(math.log(r[0] if r[1] else 1 - r[0]) for r in p) / len(p)
+
+    one = train.fit_boosted(marked.drop(train.VALIDATION), {"maxDepth": 2, "stepSize": 0.1, "maxIter": 1})
+    assert loss(model) < loss(one) - 0.02

@@ -6,8 +6,6 @@ import __spark_entry__ as entry
 from oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"train_gbt_score", "train_alt_score", "train_seq_score", "kfold_eval", "model_manifest", "stream_score", "explain_tree"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -21,8 +19,9 @@ def test_query_equals_sql(spark, con, name):
     assert problem in ("", "no rows at all")
 
 
-def test_only_model_queries_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == SLOW
+def test_only_corpus_queries_lack_sql():
+    lacking = set(entry.queries()) - set(entry.oracle_sql())
+    assert all(name == "pipeline" or name.startswith("op") for name in lacking)
 
 
 def test_entry(spark):
