@@ -22,7 +22,8 @@ from tokenizers import Tokenizer
 # Pieces and pre-tokens kept per generation; a worker holds at most two generations of each.
 CACHED = 300_000
 # Letters and punctuation whose Unicode class no version of the tables changes; no apostrophe, which may begin a
-# contraction. The quantifiers are possessive, so a match takes linear time. Pieces made of these are cut into pre-tokens here, others are left to the library as they are.
+# contraction. The quantifiers are possessive, so a match takes linear time. Pieces made of these are cut into
+# pre-tokens here, others are left to the library as they are.
 _LETTER, _DIGIT, _MARK = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9", r"!-&(-/:-@\[-`{-~"
 _BYTE_PLAIN = re.compile(rf"(?: ?(?:[{_LETTER}]++|[{_DIGIT}]++|[{_MARK}]++)|\n(?=\S))++")
 _BYTE_PARTS = re.compile(rf" ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[{_MARK}]+|\n")
