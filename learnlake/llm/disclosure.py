@@ -6,8 +6,13 @@ an entity c where their pointwise mutual information reaches a share of the enti
 
     PMI(c; t) = ln(n(c,t) N / (n(c) n(t)))  >=  threshold * IC(c) = threshold * ln(N / n(c)),
 
-so 1 means that t never occurs without c. Such terms are generalised, or removed where they fully disclose, in the
-contexts of that entity. Counts cover all documents.
+so 1 means that t never occurs without c. One or two documents are little evidence for that: a pair seen in fewer than
+``support`` of them is judged by the same measure with n(c,t) / n(t) smoothed by one document of the prior n(c) / N,
+
+    (n(c,t) + n(c) / N) / (n(t) + 1),
+
+so that entities of any document count are judged, and a single coincidence weighs more the larger the corpus. Such
+terms are generalised, or removed where they fully disclose, in the contexts of that entity. Counts cover all documents.
 """
 
 from __future__ import annotations
@@ -46,7 +51,7 @@ FILTER_BITS = 1 << 22
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Contexts reach ``window`` terms to either side; a pair needs ``support`` documents to be judged."""
+    """Contexts reach ``window`` terms to either side; pairs of fewer than ``support`` documents are smoothed."""
 
     window: int = 8
     support: int = 3
@@ -197,13 +202,16 @@ def disclosing_pairs(docs: DataFrame, found: DataFrame, new: dict[str, str], rul
     seen = F.transform(F.col(new["contexts"]), lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term")))
     pairs = written(
         found.select(F.explode(F.array_distinct(seen)).alias("p")).groupBy("p.entity", "p.term")
-        .agg(F.count("*").alias("n_both")).where(F.col("n_both") >= rule.support), "disclosure-pairs")
+        .agg(F.count("*").alias("n_both")), "disclosure-pairs")
     entities = (
         found.select(F.explode(new["entities"]).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     )
     terms = written(document_frequency(docs, pairs.select("term").distinct()), "disclosure-terms")
     total = float(found.count())
-    share = F.log(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) / F.log(total / F.col("n_entity"))
+    lift = F.when(
+        F.col("n_both") >= rule.support, F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))
+    ).otherwise((F.col("n_both") * total / F.col("n_entity") + 1) / (F.col("n_term") + 1))
+    share = F.log(lift) / F.log(total / F.col("n_entity"))
     judged = pairs.join(entities, "entity").join(terms, "term").where(F.col("n_entity") < total)
     return judged.withColumn("share", share).where(F.col("share") >= rule.threshold).select("entity", "term", "share")
 

@@ -112,6 +112,19 @@ def test_stage_rewrites_texts_only_where_needed(spark):
     assert texts[None].text == "call [PHONE] now" and texts[52].text == "x [IP] y"
 
 
+def test_entities_of_one_or_two_documents_are_judged(spark):
+    rows = [(i, f"common words about things number {i}") for i in range(3000)]
+    rows += [(3000, "common words by Quillfeather at q@example.org"), (3001, "about Brimstone 10.1.2.3 things"),
+             (3002, "words Brimstone 10.1.2.3 common")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in disclosure.personal_data(docs).where("spans <> ''").collect()}
+    text = dict(rows)
+    at = {i: f"term:{text[i].index(w)}:{text[i].index(w) + len(w)}" for i, w in (
+        (3000, "Quillfeather"), (3001, "Brimstone"), (3002, "Brimstone"))}
+    assert set(spans) == set(at) and all(at[i] in spans[i].split(",") for i in at)
+    assert not any(f"term:{text[3000].index(w)}:" in spans[3000] for w in ("common", "words"))
+
+
 def test_overlapping_spans_become_one():
     assert disclosure.redact("abcdef", [("ip", 1, 3), ("card", 2, 5)]) == "a[IP]f"
 
