@@ -12,7 +12,8 @@ so 1 means that t never occurs without c. One or two documents are little eviden
     (n(c,t) + n(c) / N) / (n(t) + 1),
 
 so that entities of any document count are judged, and a single coincidence weighs more the larger the corpus. Such
-terms are generalised, or removed where they fully disclose, in the contexts of that entity. Counts cover all documents.
+terms are generalised, or removed where they fully disclose, wherever they occur in any text. Counts are of whole
+documents and cover all of them.
 """
 
 from __future__ import annotations
@@ -43,7 +44,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGIT = re.compile("[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
+_RUN = re.compile(r"[^\W_]{2,}")
+_LETTERS = re.compile(r"[^\W\d_]{2,}")
+_ANY_DIGIT = re.compile(r"\d")
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "gone": ""}
 # Bits of the prefilter for terms whose frequency is wanted: its size does not depend on the corpus.
 FILTER_BITS = 1 << 22
@@ -51,7 +54,7 @@ FILTER_BITS = 1 << 22
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Contexts reach ``window`` terms to either side; pairs of fewer than ``support`` documents are smoothed."""
+    """Pairs of fewer than ``support`` documents are smoothed; ``window`` is kept for callers and limits nothing."""
 
     window: int = 8
     support: int = 3
@@ -102,40 +105,75 @@ def _entity(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{plain}") - (1 << 63)
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]], window: int) -> list[tuple[int, str, int, int]]:
-    """(entity, term, start, end) of the terms up to ``window`` before and after each entity, outside all spans."""
-    marked = np.zeros(len(text) + 1, np.int64)
-    for _, a, b in spans:
-        marked[a] += 1
-        marked[b] -= 1
-    inside = np.cumsum(marked)
-    terms = [m for m in _TERM.finditer(text) if not inside[m.start():m.end()].any()]
-    starts = np.array([m.start() for m in terms], np.int64)
+def terms_of(text: str) -> list[tuple[str, int, int]]:
+    """(term, start, end): runs of two or more letters, and whole runs of letters and digits that have a digit."""
     out = []
-    for kind, a, b in spans:
-        entity, at = _entity(kind, text[a:b]), int(np.searchsorted(starts, a))
-        out += [(entity, m[0].lower(), m.start(), m.end()) for m in terms[max(0, at - window):at + window]]
-    return list(dict.fromkeys(out))
+    for m in _RUN.finditer(text):
+        run, at = m[0], m.start()
+        if _ANY_DIGIT.search(run):
+            out.append((run.lower(), *m.span()))
+            out += [(w[0].lower(), at + w.start(), at + w.end()) for w in _LETTERS.finditer(run)]
+        else:
+            out.append((run.lower(), *m.span()))
+    return out
+
+
+def distinct_terms(text: str) -> set[str]:
+    """The terms of ``terms_of``, each once."""
+    runs = set(_RUN.findall(text))
+    parts = {w for run in runs if _ANY_DIGIT.search(run) for w in _LETTERS.findall(run)}
+    return {t.lower() for t in runs | parts}
+
+
+def outside(terms: list[tuple[str, int, int]], spans: list[tuple[str, int, int]], size: int) -> list[tuple[str, int, int]]:
+    """The ``terms`` that share no character with a span."""
+    if not spans or not terms:
+        return terms
+    marked = np.zeros(size + 2, np.int64)
+    for _, a, b in spans:
+        marked[a + 1] += 1
+        marked[b + 1] -= 1
+    covered = np.cumsum(np.cumsum(marked) > 0)
+    return [t for t in terms if covered[t[2]] == covered[t[1]]]
 
 
 FOUND = (
     "n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "contexts array<struct<entity:bigint,term:string,start:bigint,end:bigint>>, entities array<bigint>"
+    "places array<struct<term:string,start:bigint,end:bigint>>"
 )
-_CONTEXTS = pa.list_(pa.struct(
-    [("entity", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+_CANDIDATES = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _joined(spans: Iterable[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def detect(docs: DataFrame, keep: list[str], rule: Disclosure) -> tuple[DataFrame, dict[str, str]]:
-    """The columns ``keep`` of every row, a row number, base detection and contexts, written to the shared folder.
+def holders(docs: DataFrame) -> DataFrame:
+    """(uid, entities, terms): what the documents that hold an entity hold, each once, written to the shared folder."""
+    source = docs.select(F.monotonically_increasing_id().alias("uid"), "text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, "text", SLICE_BYTES):
+            rows = []
+            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if spans := base_spans(text or ""):
+                    near = outside(terms_of(text), spans, len(text))
+                    rows.append((uid, sorted({_entity(k, text[a:b]) for k, a, b in spans}), list({t for t, *_ in near})))
+            uids, entities, terms = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_pydict({
+                "uid": pa.array(uids, pa.int64()), "entities": pa.array(entities, pa.list_(pa.int64())),
+                "terms": pa.array(terms, pa.list_(pa.string()))})
+
+    return written(source.mapInArrow(run, "uid long, entities array<bigint>, terms array<string>"), "entity-holders")
+
+
+def locate(docs: DataFrame, keep: list[str], terms: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The columns ``keep`` of every row, a row number, base detection and places of ``terms``, in the shared folder.
 
+    The places, outside all spans, are those of terms that pass a filter: the join with ``terms`` drops the rest.
     Also returns the names the added columns got, which avoid those in ``keep``.
     """
-    names = ["uid", "n_email", "n_ip", "n_card", "n_phone", "base", "contexts", "entities"]
+    names = ["uid", "n_email", "n_ip", "n_card", "n_phone", "base", "places"]
     source = docs.select(*dict.fromkeys([*keep, "text"]))
     new = dict(zip(names, fresh(source, *names), strict=True))
     source = source.withColumn(new["uid"], F.monotonically_increasing_id())
@@ -143,19 +181,23 @@ def detect(docs: DataFrame, keep: list[str], rule: Disclosure) -> tuple[DataFram
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in kept]
     order = [f.name for f in source.schema if f.name in kept]
     added = [f"`{new[n]}` {kind}" for n, kind in (part.strip().split(" ", 1) for part in FOUND.split(", "))]
+    wanted = _term_filter(terms)
+
+    def places(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
+        passing = {t for t in distinct_terms(text) if wanted[crc32(t.encode()) % FILTER_BITS]}
+        if not passing:
+            return []
+        here = [t for t in terms_of(text) if t[0] in passing]
+        return [dict(zip(("term", "start", "end"), t, strict=True)) for t in outside(here, spans, len(text))]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             spans = [base_spans(t) for t in texts]
-            near = [contexts(t, s, rule.window) if s else [] for t, s in zip(texts, spans, strict=True)]
             counts = [Counter(k for k, *_ in s) for s in spans]
             columns = [pa.array([c[k] for c in counts], pa.int64()) for k in KINDS]
             columns.append(pa.array([_joined(s) for s in spans], pa.string()))
-            columns.append(pa.array([[dict(zip(("entity", "term", "start", "end"), x, strict=True)) for x in n]
-                                     for n in near], _CONTEXTS))
-            columns.append(pa.array([sorted({_entity(k, t[a:b]) for k, a, b in s}) for t, s in
-                                     zip(texts, spans, strict=True)], pa.list_(pa.int64())))
+            columns.append(pa.array([places(t, s) for t, s in zip(texts, spans, strict=True)], _CANDIDATES))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in order], *columns], names=[*order, *[new[n] for n in names[1:]]])
 
@@ -188,7 +230,7 @@ def document_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
             seen: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
                 if text:
-                    seen.update({t.lower() for t in set(_TERM.findall(text))})
+                    seen.update(distinct_terms(text))
             kept = [(t, n) for t, n in seen.items() if wanted[crc32(t.encode()) % FILTER_BITS]]
             yield pa.RecordBatch.from_pydict({
                 "term": pa.array([t for t, _ in kept], pa.string()), "n": pa.array([n for _, n in kept], pa.int64())})
@@ -197,48 +239,56 @@ def document_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counted.join(terms, "term", "left_semi")
 
 
-def disclosing_pairs(docs: DataFrame, found: DataFrame, new: dict[str, str], rule: Disclosure) -> DataFrame:
-    """(entity, term, share): pairs whose PMI reaches ``rule.threshold`` of the entity's information content."""
-    seen = F.transform(F.col(new["contexts"]), lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term")))
+def disclosing_terms(docs: DataFrame, rule: Disclosure) -> DataFrame:
+    """(term, share): terms whose PMI with an entity reaches ``rule.threshold`` of its information content.
+
+    Terms are counted with the entities of the whole document. Entities with the same documents have the same counts
+    and are one class, known by its size and a hash of its documents: a list of addresses that are found nowhere else
+    is paired with the terms of its document once.
+    """
+    held = holders(docs)
+    single = held.select("uid", F.explode("entities").alias("entity"))
+    sizes = single.groupBy("entity").agg(
+        F.count("*").alias("n_entity"), F.expr("bit_xor(xxhash64(uid))").alias("mark")).withColumn("of", F.struct("n_entity", "mark"))
+    classes = single.join(sizes, "entity").groupBy("uid").agg(F.collect_set("of").alias("classes"))
     pairs = written(
-        found.select(F.explode(F.array_distinct(seen)).alias("p")).groupBy("p.entity", "p.term")
+        held.join(classes, "uid").select(F.explode("classes").alias("of"), "terms")
+        .select("of", F.explode("terms").alias("term")).groupBy("of.n_entity", "of.mark", "term")
         .agg(F.count("*").alias("n_both")), "disclosure-pairs")
-    entities = (
-        found.select(F.explode(new["entities"]).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    )
     terms = written(document_frequency(docs, pairs.select("term").distinct()), "disclosure-terms")
-    total = float(found.count())
+    total = float(docs.count())
     lift = F.when(
         F.col("n_both") >= rule.support, F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))
     ).otherwise((F.col("n_both") * total / F.col("n_entity") + 1) / (F.col("n_term") + 1))
     share = F.log(lift) / F.log(total / F.col("n_entity"))
-    judged = pairs.join(entities, "entity").join(terms, "term").where(F.col("n_entity") < total)
-    return judged.withColumn("share", share).where(F.col("share") >= rule.threshold).select("entity", "term", "share")
+    judged = pairs.join(terms, "term").where(F.col("n_entity") < total).withColumn("share", share)
+    best = judged.where(F.col("share") >= rule.threshold).groupBy("term").agg(F.max("share").alias("share"))
+    return written(best, "disclosing-terms")
 
 
-def _with_term_spans(rows: DataFrame, new: dict[str, str], pairs: DataFrame) -> tuple[DataFrame, str]:
-    """``rows`` of ``detect`` with an array of the spans of disclosing terms, and that column's name.
+def _with_term_spans(rows: DataFrame, new: dict[str, str], terms: DataFrame) -> tuple[DataFrame, str]:
+    """``rows`` of ``locate`` with an array of the spans of disclosing terms, and that column's name.
 
-    Each span is there once, with a flag that tells whether it is removed; null where there are none.
+    Each span has a flag that tells whether it is removed; null where there are none.
     """
-    owner, terms = fresh(rows, "owner", "terms")
-    uses = rows.where(F.size(new["contexts"]) > 0).select(
-        F.col(new["uid"]).alias("uid"), F.explode(new["contexts"]).alias("c")).select("uid", "c.*")
-    hits = uses.join(pairs, ["entity", "term"])
-    best = hits.groupBy("uid", "start", "end").agg(F.max("share").alias("share"))
+    owner, added = fresh(rows, "owner", "terms")
+    uses = rows.where(F.size(new["places"]) > 0).select(
+        F.col(new["uid"]).alias(owner), F.explode(new["places"]).alias("p")).select(owner, "p.*")
     span = F.struct("start", "end", (F.col("share") > 1 - 1e-9).alias("gone"))
-    spans = best.groupBy(F.col("uid").alias(owner)).agg(F.array_sort(F.collect_list(span)).alias(terms))
-    return rows.join(spans, rows[new["uid"]] == spans[owner], "left").drop(owner), terms
+    spans = uses.join(terms, "term").groupBy(owner).agg(F.array_sort(F.collect_list(span)).alias(added))
+    return rows.join(spans, rows[new["uid"]] == spans[owner], "left").drop(owner), added
 
 
 def personal_data(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     """doc_id, counts per kind, SHA-256 of the base spans, and all spans as text; one row per row of ``docs``.
 
-    Null texts count as empty; they, empty texts and texts without personal data have no spans (the SHA-256 of the
-    empty text). Spans are ``kind:start:end`` in code points, end exclusive, by kind as listed, ``term`` last.
+    Null texts count as empty; they, empty texts and texts without personal data or disclosing terms have no spans
+    (the SHA-256 of the empty text). Spans are ``kind:start:end`` in code points, end exclusive, by kind as listed,
+    ``term`` last.
     """
-    found, new = detect(docs, ["doc_id"], rule)
-    rows, terms = _with_term_spans(found, new, disclosing_pairs(docs, found, new, rule))
+    pairs = disclosing_terms(docs, rule)
+    found, new = locate(docs, ["doc_id"], pairs)
+    rows, terms = _with_term_spans(found, new, pairs)
     text = F.array_join(F.transform(terms, lambda s: F.concat_ws(":", F.lit("term"), s["start"], s["end"])), ",")
     spans = F.concat_ws(",", F.when(F.col(new["base"]) != "", F.col(new["base"])), text)
     return rows.select(
@@ -259,15 +309,15 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 def sanitised(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     """Documents, all columns, with personal data and disclosing terms replaced in ``text``.
 
-    No row is dropped. Texts without personal data stay as they are, null included; ``n_chars``, where present, is
+    No row is dropped. Texts without personal data or disclosing terms stay as they are, null included; ``n_chars``, where present, is
     the new length of a changed text.
     """
-    found, new = detect(docs, docs.columns, rule)
-    pairs = disclosing_pairs(docs, found, new, rule)
-    touched, added = _with_term_spans(found.where(F.size(new["contexts"]) > 0), new, pairs)
+    pairs = disclosing_terms(docs, rule)
+    found, new = locate(docs, docs.columns, pairs)
+    touched, added = _with_term_spans(found.where(F.size(new["places"]) > 0), new, pairs)
     touched = touched.select(*docs.columns, new["base"], added)
-    # The many rows without personal data take no part in the join.
-    rest = found.where(F.size(new["contexts"]) == 0).select(
+    # The many rows without such terms take no part in the join.
+    rest = found.where(F.size(new["places"]) == 0).select(
         *docs.columns, new["base"], F.lit(None).cast(touched.schema[added].dataType).alias(added))
     both = rest.unionByName(touched)
     columns_out, base_column = docs.columns, new["base"]

@@ -125,6 +125,24 @@ def test_entities_of_one_or_two_documents_are_judged(spark):
     assert not any(f"term:{text[3000].index(w)}:" in spans[3000] for w in ("common", "words"))
 
 
+def test_terms_count_in_the_whole_document_and_go_everywhere(spark):
+    far = " ".join(["common words about things"] * 10)
+    rows = [(i, "common words about things") for i in range(3000)]
+    rows += [(3000 + i, f"Bo {far} ann@example.org {far} Thornapple ref77 and Thornapple") for i in range(9)]
+    rows += [(3009, "here Thornapple is named without the address")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in disclosure.sanitised(docs).where("doc_id >= 3000").collect()}
+    assert len(out) == 10
+    for i, text in out.items():
+        assert "Thornapple" not in text and "ref77" not in text and "Bo" not in text, i
+        assert text.count("[TERM]") == (1 if i == 3009 else 2)
+
+
+def test_long_term_runs_take_linear_time():
+    for text in ("a" * 300_000, "a1" * 150_000, "1" * 300_000, "a_" * 100_000):
+        assert {t for t, *_ in disclosure.terms_of(text)} == disclosure.distinct_terms(text)
+
+
 def test_overlapping_spans_become_one():
     assert disclosure.redact("abcdef", [("ip", 1, 3), ("card", 2, 5)]) == "a[IP]f"
 
