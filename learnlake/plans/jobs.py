@@ -39,7 +39,8 @@ def _names(config: dict[str, Any]) -> list[str]:
 
 def ingest(spark: SparkSession, config: dict[str, Any]) -> dict[str, str]:
     paths = config["paths"]
-    return tables.ingest_csv(spark, paths["raw"], paths["bronze"], config["files"], infer=False)
+    return tables.ingest_csv(spark, paths["raw"], paths["bronze"], config["files"], infer=False,
+                             multi_line=config["multi_line"])
 
 
 def clean_table(df: DataFrame, name: str, config: dict[str, Any]) -> DataFrame:

@@ -140,15 +140,17 @@ def ingest_csv(
     schemas: Mapping[str, StructType | str] | None = None,
     source_system: str = "csv",
     infer: bool = True,
+    multi_line: bool = False,
 ) -> dict[str, str]:
     """Land each CSV file in Bronze; returns dataset name -> path.
 
-    Without inference Bronze holds the text as it came, and contracts type it on the way to Silver.
+    Without inference Bronze holds the text as it came, and contracts type it on the way to Silver. ``multi_line``
+    is that of ``read_csv``.
     """
     written = {}
     for filename in filenames:
         name = dataset_name(filename)
-        raw = read_csv(spark, f"{source_dir}/{filename}", (schemas or {}).get(name), infer)
+        raw = read_csv(spark, f"{source_dir}/{filename}", (schemas or {}).get(name), infer, multi_line)
         written[name] = write_parquet(
             stamp_provenance(raw, source_system, filename), f"{bronze_dir}/{name}.parquet")
     return written

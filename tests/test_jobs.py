@@ -181,3 +181,10 @@ def test_gold_partition_layout(spark, tmp_path, student_info, registration, no_a
     assert (tmp_path / "gold" / "code_module=AAA" / "code_presentation=2014J").is_dir()
     back = tables.read_gold(spark, path)
     assert back.filter("code_module = 'AAA'").count() == 2
+
+
+def test_ingest_keeps_line_breaks_in_quoted_fields(spark, tmp_path):
+    (tmp_path / "notes.csv").write_text('id,note,n\n1,"two\nlines, ""quoted""",5\n2,plain,6\n')
+    landed = tables.ingest_csv(spark, str(tmp_path), str(tmp_path / "bronze"), ["notes.csv"], multi_line=True)
+    rows = spark.read.parquet(landed["notes"]).select("id", "note", "n").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, 'two\nlines, "quoted"', 5), (2, "plain", 6)]
