@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from learnlake.llm import (
+    cover_tree,
     disclosure,
     language,
+    longest_previous,
     merkle,
     mixing,
     order_minhash,
@@ -66,11 +68,21 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.personal_data(documents(spark, sf_dir))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longest_previous.deduplicated_documents(documents(spark, sf_dir))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_of_documents(documents(spark, sf_dir))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_simhash_near_dedup, op4_order_minhash, op5_repetition_quality,
-    op6_source_mixing, op7_token_blocks, op8_packing, op9_token_counts, op10_pii_disclosure, op12_merkle_manifest)}
-ORACLES: dict[str, str] = {"op2_url_filter": url_filter.SQL, "op6_source_mixing": mixing.SQL, "op12_merkle_manifest": merkle.SQL}
+    op6_source_mixing, op7_token_blocks, op8_packing, op9_token_counts, op10_pii_disclosure, op11_suffix_array_dedup,
+    op12_merkle_manifest, op13_hard_negatives)}
+ORACLES: dict[str, str] = {"op2_url_filter": url_filter.SQL, "op6_source_mixing": mixing.SQL, "op12_merkle_manifest": merkle.SQL,
+    "op13_hard_negatives": cover_tree.SQL}
