@@ -1,4 +1,4 @@
-"""Risk models on Spark ML: presets, fitting, evaluation by folds, saving and promotion.
+"""Risk models: presets, fitting, evaluation by folds, saving and promotion.
 
 Encoders and null handling are stages of the fitted model, so that scoring sees raw columns exactly as
 training did.
@@ -9,42 +9,44 @@ from __future__ import annotations
 import hashlib
 import json
 import time
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnlake import KEYS
 from learnlake.functions.columns import numeric_columns, present
+from learnlake.operators import boosting, recurrent
+from learnlake.operators.boosting import Boosting
 from learnlake.operators.encode import UNKNOWN
 from learnlake.operators.features import weekly_sequence
 from learnlake.operators.metrics import METRICS, classification_metrics
 from learnlake.operators.profile import fingerprint
+from learnlake.operators.recurrent import Recurrent
 from learnlake.operators.registry import CATEGORICAL, LABEL
 from learnlake.operators.split import stratified_folds, stratified_split
-from learnlake.session import ensure_checkpoint_dir, shared_path
+from learnlake.session import shared_path
 
-# The published settings of the two boosted-tree models and the sequence model.
-BOOSTED_A = {
-    "maxIter": 800, "stepSize": 0.05, "maxDepth": 7, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85",
-}
+# The published settings of the two boosted-tree models and the sequence model. What the second does not
+# set are its published defaults.
+BOOSTED_A = {"rounds": 800, "step": 0.05, "max_depth": 7, "row_share": 0.85, "feature_share": 0.85, "l1": 0.1, "l2": 1.0}
 BOOSTED_B = {
-    "maxIter": 800, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85",
+    "rounds": 800, "step": 0.05, "max_leaves": 63, "max_depth": 62, "row_share": 0.85, "bag_every": 5,
+    "feature_share": 0.85, "l1": 0.0, "l2": 0.0, "min_rows": 20, "min_hessian": 0.001,
+}
+SEQUENCE = {
+    "length": 30, "hidden": 64, "dense": 32, "dropout": 0.3, "recurrent_dropout": 0.1, "batch": 128, "epochs": 25,
+    "step": 0.001, "patience": 5,
 }
-SEQUENCE = {"length": 30, "hidden": [64, 32], "blockSize": 128, "maxIter": 25}
-
-# Rounds without a better validation loss after which boosting stops, and the rounds of the first attempt.
 PATIENCE = 50
-FIRST_ROUNDS = 60
+PRESETS = {"boosted_a": BOOSTED_A, "boosted_b": BOOSTED_B, "sequence": SEQUENCE}
 
 VALIDATION = "_is_validation"
 SCORE = "risk_score"
@@ -123,15 +125,19 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
 # ------------------------------------------------------------------ fitting
 
 
-def best_rounds(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
-    """Rounds up to the smallest loss before ``patience`` rounds brought no better one, and whether that happened."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        if i - best >= patience:
-            return best + 1, True
-    return best + 1, False
+def boosting_settings(settings: dict[str, Any] | None, seed: int = 42, patience: int = PATIENCE) -> Boosting:
+    """The first preset with changes, or all of another one."""
+    chosen = settings or {}
+    return Boosting(**{"seed": seed, "patience": patience} | (chosen if "max_leaves" in chosen else BOOSTED_A | chosen))
+
+
+def _vectors(features: PipelineModel, rows: DataFrame, label: str, roles: Mapping[str, Column]) -> tuple[DataFrame, int]:
+    """Label, feature array and roles in the shared folder, and the array's width."""
+    encoded = features.transform(rows)
+    width = encoded.schema["features"].metadata["ml_attr"]["num_attrs"]
+    table = encoded.select(
+        F.col(label).cast("int").alias(label), vector_to_array("features").alias("x"), *[c.alias(n) for n, c in roles.items()])
+    return materialise(table, "boosting"), width
 
 
 def fit_boosted(
@@ -140,33 +146,32 @@ def fit_boosted(
 ) -> PipelineModel:
     """Gradient-boosted trees; rows marked by ``with_validation`` only decide how many rounds are kept.
 
-    Spark's boosting neither waits for a better loss nor continues a model, but the first rounds of a longer fit are
-    those of a shorter one. So the rounds are doubled until the validation loss has not improved for ``patience``
-    rounds or the preset's number is reached, and the best prefix is fitted: at most about three times the rounds needed.
+    A fit stops ``patience`` rounds after the smallest validation loss and keeps the rounds up to it.
     """
-    ensure_checkpoint_dir(train.sparkSession)
-    settings = BOOSTED_A | (settings or {})
+    features = Pipeline(stages=feature_stages(train, label)).fit(train)
+    role = F.when(F.col(VALIDATION), boosting.VALIDATE).otherwise(boosting.TRAIN) if VALIDATION in train.columns else F.lit(boosting.TRAIN)
+    rows, width = _vectors(features, train, label, {"role": role})
+    forest, edges, _ = boosting.fit(rows, "x", label, "role", width, boosting_settings(settings, seed, patience))
+    return PipelineModel([*features.stages, boosting.spark_model(train.sparkSession, forest, edges, width)])
 
-    def fit(rows: DataFrame, rounds: int):
-        return GBTClassifier(
-            labelCol=label, featuresCol="features", seed=seed, checkpointInterval=10, maxMemoryInMB=512,
-            **settings | {"maxIter": rounds}).fit(rows)
 
-    features = Pipeline(stages=feature_stages(train, label)).fit(train)
-    columns = [label, "features", *[c for c in (VALIDATION,) if c in train.columns]]
-    rows = materialise(features.transform(train).select(*columns), "boosting")
-    most = settings["maxIter"]
-    if VALIDATION not in columns:
-        return PipelineModel([*features.stages, fit(rows, most)])
-    fitted, held = rows.filter(~F.col(VALIDATION)), rows.filter(VALIDATION)
-    rounds, stopped = min(FIRST_ROUNDS, most), False
-    while True:
-        model = fit(fitted, rounds)
-        kept, stopped = best_rounds(model.evaluateEachIteration(held), patience)
-        if stopped or rounds == most:
-            break
-        rounds = min(2 * rounds, most)
-    return PipelineModel([*features.stages, model if kept == rounds else fit(fitted, kept)])
+def fit_boosted_folds(
+    folded: DataFrame, folds: int, settings: dict[str, Any] | None = None, label: str = LABEL, seed: int = 42,
+    patience: int = PATIENCE,
+) -> list[PipelineModel]:
+    """One model per fold (column ``fold``, from 1), each on the rows of the others, all grown side by side.
+
+    Rows marked by ``with_validation`` take part in early stopping only. Encoders and bins, which see no label, are
+    those of all rows.
+    """
+    features = Pipeline(stages=feature_stages(folded, label)).fit(folded)
+    held = F.col(VALIDATION) if VALIDATION in folded.columns else F.lit(False)
+    role = F.when(held, boosting.VALIDATE).otherwise(boosting.TRAIN)
+    roles = {f"role_{k}": F.when(F.col("fold") == k, 0).otherwise(role) for k in range(1, folds + 1)}
+    rows, width = _vectors(features, folded, label, roles)
+    forests, edges, _ = boosting.fit_many(rows, "x", label, list(roles), width, boosting_settings(settings, seed, patience))
+    spark = folded.sparkSession
+    return [PipelineModel([*features.stages, boosting.spark_model(spark, f, edges, width)]) for f in forests]
 
 
 def sequence_frame(student_vle: DataFrame, labels: DataFrame, length: int = 30) -> DataFrame:
@@ -181,13 +186,17 @@ def sequence_frame(student_vle: DataFrame, labels: DataFrame, length: int = 30)
 
 def fit_sequence(
     train: DataFrame, settings: dict[str, Any] | None = None, label: str = LABEL, seed: int = 42
-) -> PipelineModel:
-    """Feed-forward network over the weekly click vector of ``sequence_frame``."""
-    s = SEQUENCE | (settings or {})
-    network = MultilayerPerceptronClassifier(
-        layers=[s["length"], *s["hidden"], 2], labelCol=label, featuresCol="features", seed=seed,
-        blockSize=s["blockSize"], maxIter=s["maxIter"])
-    return Pipeline(stages=[network]).fit(train)
+) -> tuple[PipelineModel, int]:
+    """Recurrent network over the sequences of ``sequence_frame``, and the number of epochs kept.
+
+    Rows marked by ``with_validation`` decide when to stop, by their AUC; without them the training rows do.
+    """
+    held = F.col(VALIDATION) if VALIDATION in train.columns else F.lit(False)
+    rows = materialise(train.select(
+        vector_to_array("features").alias("x"), F.col(label).cast("int").alias(label),
+        F.when(held, boosting.VALIDATE).otherwise(boosting.TRAIN).alias("role")), "sequences")
+    model, history = recurrent.fit(rows, "x", label, "role", Recurrent(**{"seed": seed} | SEQUENCE | (settings or {})))
+    return PipelineModel([model]), 1 + max(range(len(history)), key=history.__getitem__)
 
 
 def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -203,27 +212,21 @@ def predict(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> Data
 
 def kfold_eval(
     df: DataFrame,
-    fit: Callable[[DataFrame], PipelineModel],
+    settings: dict[str, Any] | None = None,
     label: str = LABEL,
     folds: int = 5,
     seed: int = 42,
     keys: Sequence[str] = KEYS,
     validation_share: float = 0.1,
 ) -> DataFrame:
-    """Metrics per fold: one fit per fold, then a single metric job over all out-of-fold scores."""
-    folded = materialise(stratified_folds(df, label, folds, seed, keys), "folds")
-
-    def out_of_fold(fold: int) -> DataFrame:
-        train = folded.filter(F.col("fold") != fold)
-        if validation_share:
-            train = materialise(with_validation(train, label, validation_share, seed, keys), "fold")
-        scored = predict_proba(fit(train), folded.filter(F.col("fold") == fold))
-        return scored.select("fold", label, SCORE)
-
-    # Small steps of one fit leave executors idle, which those of the other folds can use.
-    with ThreadPoolExecutor(folds) as threads:
-        held_out = list(threads.map(out_of_fold, range(1, folds + 1)))
-    return classification_metrics(reduce(DataFrame.unionByName, held_out), label, SCORE, by=["fold"])
+    """Metrics per fold: one fit for the models of all folds, then a single metric job over all out-of-fold scores."""
+    marked = with_validation(df, label, validation_share, seed, keys) if validation_share else df
+    folded = materialise(stratified_folds(marked, label, folds, seed, keys), "folds")
+    models = fit_boosted_folds(folded, folds, settings, label, seed)
+    scored = [
+        predict_proba(model, folded.filter(F.col("fold") == k)).select("fold", label, SCORE)
+        for k, model in enumerate(models, 1)]
+    return classification_metrics(reduce(DataFrame.unionByName, scored), label, SCORE, by=["fold"])
 
 
 # ------------------------------------------------------------------ artifacts
@@ -239,22 +242,27 @@ def train_and_report(
     keys: Sequence[str] = KEYS,
     threshold: float = 0.5,
 ) -> tuple[PipelineModel, Manifest, DataFrame, DataFrame]:
-    """Split, fit and evaluate; returns (model, manifest, training rows, scored test rows)."""
-    settings = (BOOSTED_B if model_name == "boosted_b" else BOOSTED_A) | (settings or {})
+    """Split, fit and evaluate; returns (model, manifest, training rows, scored test rows).
+
+    The model "sequence" trains on a ``sequence_frame``, the others on Gold.
+    """
+    settings = PRESETS[model_name] | (settings or {})
     marked = materialise(stratified_split(gold, label, test_share, seed, keys), "split")
     train, test = marked.filter("NOT is_test").drop("is_test"), marked.filter("is_test").drop("is_test")
     start = time.monotonic()
-    model = fit_boosted(
-        materialise(with_validation(train, label, seed=seed, keys=keys), "train"), settings, label, seed)
+    rows = materialise(with_validation(train, label, seed=seed, keys=keys), "train")
+    if model_name == "sequence":
+        model, rounds = fit_sequence(rows, settings, label, seed)
+        names, inputs = [f"week_{i}" for i in range(settings["length"])], {"features": "vector"}
+    else:
+        model = fit_boosted(rows, settings, label, seed)
+        names, inputs, rounds = feature_names(model, train), input_columns(train, label), model.stages[-1].getNumTrees
     seconds = time.monotonic() - start
     scored = predict_proba(model, test)
     row = classification_metrics(scored, label, SCORE, threshold).first()
     manifest = Manifest(
-        model_name, feature_names(model, train), settings, input_columns(train, label), threshold=threshold,
-        training_seconds=seconds,
-        metrics={m: row[m] for m in METRICS} if row else {}, dataset_hash=dataset_hash(train),
-        rounds=model.stages[-1].getNumTrees,
-    )
+        model_name, names, settings, inputs, threshold=threshold, training_seconds=seconds,
+        metrics={m: row[m] for m in METRICS} if row else {}, dataset_hash=dataset_hash(train), rounds=rounds)
     return model, manifest, train, scored
 
 
@@ -279,15 +287,35 @@ def load_model(spark: SparkSession, directory: str) -> tuple[PipelineModel, Mani
     return PipelineModel.load(f"{directory}/model"), load_manifest(spark, directory)
 
 
-def promote(spark: SparkSession, directory: str, artifacts_dir: str) -> str:
-    """Point ``latest`` at a run. A pointer row, so the artifact itself is never copied or replaced."""
-    pointer = f"{artifacts_dir}/latest"
-    spark.createDataFrame([(directory,)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
-    return pointer
+def promote(spark: SparkSession, directory: str, artifacts_dir: str) -> int:
+    """Point ``latest`` at a run and return the promotion's number.
+
+    A promotion appends one row to a log; nothing is replaced, so a reader sees the pointer before or the new one, never
+    none. Rows of an unfinished promotion do not count: the file sink shows them when they are committed. Promotions
+    made at the same time get the same number; of these the last in time counts, then the greater path.
+    """
+    log = f"{artifacts_dir}/promotions"
+    entries = _promotions(spark, artifacts_dir)
+    number = 1 + (entries.agg(F.max("number")).first()[0] or 0 if entries is not None else 0)
+    row = spark.createDataFrame([(number, directory)], "number bigint, directory string")
+    row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").json(log)
+    return number
+
+
+def _promotions(spark: SparkSession, artifacts_dir: str) -> DataFrame | None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{artifacts_dir}/promotions")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema("number bigint, directory string, at timestamp").json(path.toString())
 
 
 def latest(spark: SparkSession, artifacts_dir: str) -> str:
-    return spark.read.text(f"{artifacts_dir}/latest").first().value
+    """The run that was promoted last."""
+    entries = _promotions(spark, artifacts_dir)
+    row = entries.orderBy(F.desc("number"), F.desc("at"), F.desc("directory")).first() if entries is not None else None
+    if row is None:
+        raise FileNotFoundError(f"nothing was promoted in {artifacts_dir}")
+    return row.directory
 
 
 def manifest_frame(spark: SparkSession, manifest: Manifest) -> DataFrame:

@@ -4,41 +4,46 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake import KEYS
+from learnlake.functions.ordering import exact_quantiles
 from learnlake.operators import explain, score, train
 from learnlake.operators.metrics import METRICS, classification_metrics
 from learnlake.operators.registry import LABEL
-from learnlake.operators.split import stratified_split
 from learnlake.plans.feature_queries import gold, gold_sql
 from learnlake.plans.register import Views, query
 from learnlake.session import shared_path
 from learnlake.streaming import bronze, scoring
 
 K = ", ".join(KEYS)
-# The presets take up to 800 small steps, each a few Spark jobs: over seven minutes for one fit of a few hundred
-# students on eight cores. The registered queries take fewer and larger steps through the same code.
-FEWER_STEPS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.3}
 # One fit per application, tables and preset serves all queries that look at the same model.
 _FITS: dict[tuple[str, str, str], tuple] = {}
+# Features the planted label depends on, each through the side of its median.
+PLANTED = ("total_clicks", "studied_credits", "mean_assessment_score", "num_of_prev_attempts", "median_days_to_submission")
 
 
 def planted_gold(v: Views) -> DataFrame:
-    """Gold with a label that can be learned: clicks no more than their median."""
+    """Gold with a label that can be learned in part: the log-odds add up over five features, the rest is chance."""
     rows = gold(v)
-    middle = rows.agg(F.median("total_clicks")).first()[0]
-    label = F.col("total_clicks") <= F.lit(middle)
-    return rows.withColumn(LABEL, F.coalesce(label, F.lit(False)).cast("int"))
+    values = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in PLANTED}
+    numeric = train.materialise(rows.withColumns({f"in_{c}": x for c, x in values.items()}), "gold-planted")
+    middle = exact_quantiles(numeric, [f"in_{c}" for c in PLANTED], [0.5])
+    odds = sum((F.col(f"in_{c}") <= middle[f"in_{c}"][0]).cast("int") for c in PLANTED) * 1.6 - 4.0
+    # A number in [0, 1) per student that follows from the keys alone.
+    chance = F.pmod(F.xxhash64(F.lit("planted"), *KEYS), F.lit(1 << 30)) / float(1 << 30)
+    label = (chance < 1 / (1 + F.exp(-odds))).cast("int")
+    return numeric.withColumn(LABEL, label).drop(*[f"in_{c}" for c in PLANTED])
 
 
 def _trained(v: Views, name: str) -> tuple:
-    """(rows, model, manifest) of a preset with fewer steps."""
+    """(rows, model, manifest) of a preset, in full."""
     key = (v.spark.sparkContext.applicationId, v.sf_dir, name)
     if key not in _FITS:
         rows = train.materialise(planted_gold(v), "gold-for-training")
-        model, manifest, _, _ = train.train_and_report(rows, name, FEWER_STEPS)
+        model, manifest, _, _ = train.train_and_report(rows, name)
         _FITS[key] = rows, model, manifest
     return _FITS[key]
 
@@ -68,28 +73,34 @@ def train_alt_score(v: Views) -> DataFrame:
 
 @query("train_seq_score", f"SELECT {K}, true AS in_range, true AS signal_found FROM v_student_info")
 def train_seq_score(v: Views) -> DataFrame:
-    labels = planted_gold(v).select(*KEYS, LABEL)
-    frame = train.materialise(train.sequence_frame(v.student_vle, labels), "sequences")
-    marked = train.materialise(stratified_split(frame, LABEL), "sequence-split")
-    model = train.fit_sequence(marked.filter("NOT is_test"))
-    scored = train.predict_proba(model, marked)
-    row = classification_metrics(scored.filter("is_test"), LABEL, train.SCORE).first()
+    """The label is whether a student's clicks come late or early: their order carries it, not their sum."""
+    weeks = train.sequence_frame(v.student_vle, v.student_info.select(*KEYS, F.lit(0).alias(LABEL)))
+    clicks = weeks.select(*KEYS, "features", vector_to_array("features").alias("x"))
+    half = train.SEQUENCE["length"] // 2
+    late = F.aggregate(F.slice("x", half + 1, half), F.lit(0.0), lambda a, x: a + x)
+    early = F.aggregate(F.slice("x", 1, half), F.lit(0.0), lambda a, x: a + x)
+    chance = F.pmod(F.xxhash64(F.lit("order"), *KEYS), F.lit(20)) == 0
+    labelled = clicks.withColumn(LABEL, F.when(chance, late <= early).otherwise(late > early).cast("int")).drop("x")
+    frame = train.materialise(labelled, "sequences")
+    model, manifest, _, _ = train.train_and_report(frame, "sequence")
+    scored = train.predict_proba(model, frame)
     return scored.select(
-        *KEYS, F.col(train.SCORE).between(0, 1).alias("in_range"), F.lit(row["roc_auc"] > 0.7).alias("signal_found"))
+        *KEYS, F.col(train.SCORE).between(0, 1).alias("in_range"),
+        F.lit(manifest.metrics["roc_auc"] > 0.7).alias("signal_found"))
 
 
 @query("kfold_eval", """
     SELECT CAST(i AS INT) AS fold, true AS in_range, true AS signal_found FROM generate_series(1, 5) AS t(i)""")
 def kfold_eval(v: Views) -> DataFrame:
     rows = train.materialise(planted_gold(v), "gold-for-folds")
-    found = train.kfold_eval(rows, lambda part: train.fit_boosted(part, FEWER_STEPS))
+    found = train.kfold_eval(rows)
     inside = reduce(Column.__and__, [F.col(m).between(0, 1) for m in METRICS])
     return found.select(
         F.col("fold").cast("int").alias("fold"), inside.alias("in_range"), (F.col("roc_auc") > 0.7).alias("signal_found"))
 
 
 @query("model_manifest", """
-    SELECT 'boosted_a' AS model_name, true AS same_as_saved, true AS rounds_kept, true AS signal_found""")
+    SELECT 'boosted_a' AS model_name, true AS same_as_saved, true AS rounds_kept, true AS stopped_early, true AS signal_found""")
 def model_manifest(v: Views) -> DataFrame:
     """What is loaded through the promoted pointer, against what was saved."""
     _, model, manifest = _trained(v, "boosted_a")
@@ -97,9 +108,10 @@ def model_manifest(v: Views) -> DataFrame:
     run = train.save_model(v.spark, model, manifest, f"{root}/run_{manifest.run_id}")
     train.promote(v.spark, run, root)
     loaded = train.load_manifest(v.spark, train.latest(v.spark, root))
-    kept = 1 <= loaded.rounds == model.stages[-1].getNumTrees
+    kept = 1 < loaded.rounds == model.stages[-1].getNumTrees
     return train.manifest_frame(v.spark, loaded).select(
         "model_name", F.lit(loaded == manifest).alias("same_as_saved"), F.lit(kept).alias("rounds_kept"),
+        F.lit(loaded.rounds < loaded.hyperparameters["rounds"]).alias("stopped_early"),
         F.lit(loaded.metrics["roc_auc"] > 0.7).alias("signal_found"))
 
 

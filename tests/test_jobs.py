@@ -47,7 +47,7 @@ def raw(spark, tmp_path):
 
 def test_all_stages(spark, raw):
     paths = {k: str(raw / k) for k in ("raw", "bronze", "silver", "gold", "artifacts")}
-    config = jobs.load_config(paths=paths, model_settings={"maxIter": 3, "maxDepth": 3})
+    config = jobs.load_config(paths=paths, model_settings={"rounds": 6, "max_depth": 3, "step": 0.3})
     done = jobs.run(spark, config, ["ingest", "clean", "features"])
     assert set(done["ingest"]) == {tables.dataset_name(f) for f in config["files"]}
 

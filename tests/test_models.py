@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from learnlake import KEYS
-from learnlake.operators import explain, score, train
+from learnlake.operators import boosting, explain, score, train
 from learnlake.operators.metrics import classification_metrics
 
-SETTINGS = {"maxIter": 6, "maxDepth": 3}
+SETTINGS = {"rounds": 6, "max_depth": 3, "step": 0.3, "feature_share": 1.0}
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +45,14 @@ def test_feature_names_one_hot_inside_the_model(trained):
 
 def test_save_promote_load(spark, gold, trained):
     model, manifest, root, run = trained
-    train.promote(spark, run, root)
+    with pytest.raises(FileNotFoundError):
+        train.latest(spark, root)
+    assert [train.promote(spark, r, root) for r in (f"{root}/earlier", run)] == [1, 2]
+    assert train.latest(spark, root) == run
+    # A promotion that dies half-way leaves files nobody reads.
+    started = Path(root, "promotions", "_temporary", "0", "task")
+    started.mkdir(parents=True)
+    started.joinpath("part-00000.json").write_text('{"number": 3, "directory": "half"')
     assert train.latest(spark, root) == run
     again, loaded = train.load_model(spark, run)
     assert loaded == manifest
@@ -130,7 +137,7 @@ def test_linear_attribution_and_reports(spark):
 
 
 def test_kfold(gold):
-    rows = train.kfold_eval(gold, lambda part: train.fit_boosted(part, {"maxIter": 3, "maxDepth": 3}), folds=3).collect()
+    rows = train.kfold_eval(gold, {"rounds": 6, "max_depth": 3, "step": 0.3, "feature_share": 1.0}, folds=3).collect()
     assert sorted(r.fold for r in rows) == [1, 2, 3] and sum(r.n for r in rows) == 600
     assert min(r.roc_auc for r in rows) > 0.8
 
@@ -143,7 +150,8 @@ def test_sequence_model(spark):
                                          "CASE WHEN id < 50 THEN 0 ELSE 1 END AS final_result_binary")
     frame = train.sequence_frame(clicks, labels, 4)
     assert frame.count() == 110
-    model = train.fit_sequence(frame, {"length": 4, "hidden": [8], "maxIter": 60})
+    model, epochs = train.fit_sequence(frame, {"length": 4, "hidden": 8, "dense": 8, "step": 0.02, "epochs": 40})
+    assert 1 <= epochs <= 40
     row = classification_metrics(train.predict_proba(model, frame), "final_result_binary", "risk_score").first()
     assert row.roc_auc > 0.9
 
@@ -164,10 +172,10 @@ def test_leaf_ranges_partition_the_space(spark, trained):
     assert Path(trained[3]).name.startswith("run_")
 
 
-def test_best_rounds_waits_for_patience():
-    assert train.best_rounds([3, 2, 1, 2, 2, 0.5], patience=2) == (3, True)
-    assert train.best_rounds([3, 2, 1, 2, 2, 0.5], patience=4) == (6, False)
-    assert train.best_rounds([1.0]) == (1, False)
+def test_rounds_up_to_the_smallest_loss():
+    assert boosting.rounds_wanted([3.0, 2.0, 1.0, 1.5, 1.2], 2) == (2, True)
+    assert boosting.rounds_wanted([3.0, 2.0, 1.0, 1.5], 2) == (2, False)
+    assert boosting.rounds_wanted([1.0], 1) == (0, False)
 
 
 def test_boosting_keeps_many_rounds_on_a_weak_additive_signal(spark):
@@ -183,7 +191,7 @@ def test_boosting_keeps_many_rounds_on_a_weak_additive_signal(spark):
     frame = spark.createDataFrame(
         rows, f"id_student long, code_module string, code_presentation string, {columns}, final_result_binary int")
     marked = train.with_validation(frame, share=0.2).cache()
-    model = train.fit_boosted(marked, {"maxDepth": 2, "stepSize": 0.1}, patience=10)
+    model = train.fit_boosted(marked, {"max_depth": 2, "step": 0.1}, patience=10)
     rounds = model.stages[-1].getNumTrees
     assert rounds > 20
 
@@ -191,5 +199,5 @@ def test_boosting_keeps_many_rounds_on_a_weak_additive_signal(spark):
         p = train.predict_proba(fitted, marked.filter(train.VALIDATION)).select("risk_score", "final_result_binary").collect()
         return -sum(math.log(r[0] if r[1] else 1 - r[0]) for r in p) / len(p)
 
-    one = train.fit_boosted(marked.drop(train.VALIDATION), {"maxDepth": 2, "stepSize": 0.1, "maxIter": 1})
+    one = train.fit_boosted(marked.drop(train.VALIDATION), {"max_depth": 2, "step": 0.1, "rounds": 1})
     assert loss(model) < loss(one) - 0.02
