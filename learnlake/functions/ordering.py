@@ -18,22 +18,41 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from learnlake.session import shared_path
+
 ACCURACY = 10_000
+# Size of a quantile sketch (rank error about 0.1 %), and reducers that merge those of the tasks.
+SKETCH_SIZE = 4_096
+SKETCH_GROUPS = 32
 # A bucket at most this large is ordered as it is; a larger one is cut again.
 ROWS_PER_BUCKET = 2_000_000
-SMALL_TABLE_ROWS = 10_000
 MAX_COMPARISONS = 32
 
 
-def small_or_plain(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Materialise a derived table and mark it for broadcast if it has at most ``limit`` rows.
+def settled(df: DataFrame) -> DataFrame:
+    """A derived table written to the shared folder and read back.
 
-    A larger one is returned as it was, so the join falls back to a shuffle.
+    It is computed once, and its size on disk lets Spark choose between sending it to all tasks and a shuffle join.
     """
-    rows = df.take(limit + 1)
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    path = shared_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def positions(df: DataFrame, group: str, order: str, name: str = "position") -> DataFrame:
+    """``df`` with the place, from 0, of each row in its group by ``order``, for groups of any size.
+
+    Rows are sorted by ranges of both columns; a place is the number of the group's rows in earlier ranges plus that
+    before it in its own.
+    """
+    ranged = df.repartitionByRange(group, order).sortWithinPartitions(group, order)
+    table = settled(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33).alias("_part")
+    bounds = table.groupBy(part, F.col(group).alias("_group")).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bounds = bounds.select("_part", "_group", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    placed = table.join(bounds, (F.shiftright("_at", 33) == F.col("_part")) & F.col(group).eqNullSafe(F.col("_group")))
+    return placed.withColumn(name, F.col("_at") + F.col("_shift")).select(*df.columns, name)
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -47,12 +66,25 @@ def _finite(name: str) -> Column:
 
 
 def cut_points(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """Cut points per column at approximate quantiles, from one aggregate."""
-    accuracy = max(ACCURACY, 10 * len(probs))
-    row = df.agg(*[
-        F.percentile_approx(_finite(c), list(probs), accuracy).alias(f"q{i}") for i, c in enumerate(columns)
-    ]).first()
-    return {c: sorted(_with_ties_apart(row[i] or [])) for i, c in enumerate(columns)}
+    """Cut points per column at approximate quantiles.
+
+    Every task sketches its rows, ``SKETCH_GROUPS`` reducers merge the tasks' sketches, and one merge per column joins
+    those: no reducer meets the sketches of all tasks.
+    """
+    if not columns or not probs:
+        return {c: [] for c in columns}
+    k = min(65_535, max(SKETCH_SIZE, 10 * len(probs)))
+    finite = df.select((F.spark_partition_id() % SKETCH_GROUPS).alias("group"), *[
+        _finite(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    grouped = finite.groupBy("group").agg(*[
+        F.kll_sketch_agg_double(f"v{i}", F.lit(k)).alias(f"s{i}") for i in range(len(columns))])
+    stacked = grouped.select(F.posexplode(F.array(*[f"s{i}" for i in range(len(columns))])).alias("i", "sketch"))
+    merged = stacked.groupBy("i").agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+    ranks = F.array(*[F.lit(float(min(1.0, max(0.0, p)))) for p in probs])
+    known = merged.where(F.kll_sketch_get_n_double("sketch") > 0)
+    points = {r["i"]: r["points"] for r in known.select(
+        "i", F.kll_sketch_get_quantile_double("sketch", ranks).alias("points")).collect()}
+    return {c: sorted(_with_ties_apart(points.get(i, []))) for i, c in enumerate(columns)}
 
 
 def _with_ties_apart(points: Sequence[float]) -> set[float]:
@@ -262,7 +294,7 @@ def hash_thresholds(
             ranks(F.col("total")), lambda r: (r <= F.col("upto")) & (r > F.col("upto") - F.col("n"))))
         .select(*by, "prefix", F.explode("rank").alias("rank"), (F.col("upto") - F.col("n")).alias("skip"))
     )
-    places = small_or_plain(places)
+    places = settled(places)
     inside = Window.partitionBy(*by, "prefix").orderBy("h")
     ordered = (
         keyed.join(places.select(*by, "prefix"), [*by, "prefix"], "left_semi")

@@ -178,12 +178,6 @@ class _Growth:
             column.append(empty)
         return _Node(len(t.left) - 1, depth, rows)
 
-    def known(self, node: _Node, hist: np.ndarray) -> None:
-        """Take a node's histogram: its sums and its best split follow."""
-        node.hist, node.sums = hist, hist[0].sum(axis=0)
-        if node.depth < self.settings.max_depth:
-            node.split = best_splits(hist[None], self.features, self.settings)[0]
-
     def halves(self, node: _Node) -> tuple[np.ndarray, np.ndarray]:
         """Sums of the two children, which the node's own histogram tells."""
         low = node.hist[np.searchsorted(self.features, node.split[1]), :node.split[2] + 1].sum(axis=0)
@@ -236,19 +230,29 @@ class _Growth:
             self.leaves += 1
 
 
+def known(nodes: Sequence[_Node], hists: np.ndarray, features: np.ndarray, s: Boosting) -> None:
+    """Take the histograms of nodes: their sums and best splits follow."""
+    splits = best_splits(hists, features, s)
+    for node, hist, split in zip(nodes, hists, splits, strict=True):
+        node.hist, node.sums = hist, hist[0].sum(axis=0)
+        if node.depth < s.max_depth:
+            node.split = split
+
+
 def _count(bins: np.ndarray, groups: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray]], features: np.ndarray, n_bins: int) -> np.ndarray:
-    """Histograms (group, feature, bin, 3) of groups (rows, gradient, Hessian)."""
-    width, out = len(features), np.zeros((len(groups), len(features), n_bins, 3))
+    """Histograms (group, feature, bin, 3) of groups (rows, gradient, Hessian), all in one pass over their rows."""
+    width, size = len(features), len(groups) * len(features) * n_bins
+    rows = np.concatenate([r for r, _, _ in groups])
+    g, h = (np.concatenate([x[k][x[0]] for x in groups]) for k in (1, 2))
+    group = np.repeat(np.arange(len(groups)) * (width * n_bins), [len(r) for r, _, _ in groups])
+    offsets, out = (np.arange(width) * n_bins)[:, None], np.zeros((size, 3))
     step = max(1, COUNTED_CELLS // max(width, 1))
-    offsets = (np.arange(width) * n_bins)[:, None]
-    for k, (rows, g, h) in enumerate(groups):
-        for at in range(0, len(rows), step):
-            part = rows[at:at + step]
-            cells = (bins[np.ix_(features, part)] + offsets).ravel()
-            size = width * n_bins
-            for channel, weights in enumerate((np.tile(g[part], width), np.tile(h[part], width), None)):
-                out[k, :, :, channel] += np.bincount(cells, weights, size).reshape(width, n_bins)
-    return out
+    for at in range(0, len(rows), step):
+        part = slice(at, at + step)
+        cells = (bins[np.ix_(features, rows[part])] + offsets + group[part]).ravel()
+        for channel, weights in enumerate((np.tile(g[part], width), np.tile(h[part], width), None)):
+            out[:, channel] += np.bincount(cells, weights, size)
+    return out.reshape(len(groups), width, n_bins, 3)
 
 
 class _Model:
@@ -301,7 +305,7 @@ def grow(
             if round_ == end or (validated and rounds_wanted(m.losses, settings.patience)[1]):
                 yield m.number, round_, loss, Tree()
                 continue
-            m.growth.known(m.growth.root, roots[k])
+            known([m.growth.root], roots[k:k + 1], features, settings)
             m.growth.place(m.growth.root)
             going.append(m)
         active = going
@@ -316,12 +320,12 @@ def grow(
                     # Which half is smaller is known from the sums, in every task alike.
                     first = node.children[0].sums[2] <= node.children[1].sums[2]
                     groups.append((low if first else high, m.g, m.h))
-                    counted.append((m, node, first))
+                    counted.append((node, *(node.children if first else node.children[::-1])))
             if groups:
-                for (m, node, first), hist in zip(counted, add(_count(bins, groups, features, n_bins)), strict=True):
-                    small, large = node.children if first else node.children[::-1]
-                    m.growth.known(small, hist)
-                    m.growth.known(large, node.hist - hist)
+                smaller = add(_count(bins, groups, features, n_bins))
+                larger = np.stack([node.hist for node, _, _ in counted]) - smaller
+                known([small for _, small, _ in counted], smaller, features, settings)
+                known([large for _, _, large in counted], larger, features, settings)
             for m in active:
                 m.growth.commit()
         for m in active:

@@ -27,17 +27,28 @@ def drop_critical_nulls(df: DataFrame, critical: Sequence[str]) -> DataFrame:
 
 
 def _modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
-    """Most frequent value per column, the smallest on ties.
+    """Most frequent value per column, the smallest on ties: one scan for any number of columns.
 
-    Values are counted by a grouped aggregate, so no task holds all distinct values; only the winner
-    comes to the driver.
+    (column, value) pairs are counted, combined per task, so no task holds all values of a column; the winner per column
+    is a minimum, and only the winners come to the driver. Values travel as text next to what orders them.
     """
-    out = {}
-    for c in columns:
-        counted = df.filter(known(F.col(c), dict(df.dtypes)[c]).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
-        best = counted.orderBy(F.desc("n"), F.asc("value")).first()
-        out[c] = best.value if best else None
-    return out
+    if not columns:
+        return {}
+    kinds = dict(df.dtypes)
+
+    def pair(i: int, c: str) -> Column:
+        value, kind = known(F.col(f"`{c}`"), kinds[c]), kinds[c]
+        exact = kind in ("tinyint", "smallint", "int", "bigint") or kind.startswith("decimal")
+        return F.struct(
+            F.lit(i).alias("column"), (value if exact else F.lit(None)).cast("decimal(38,10)").alias("exact"),
+            (value if kind in ("float", "double") else F.lit(None)).cast("double").alias("number"),
+            value.cast("string").alias("text"))
+
+    pairs = df.select(F.inline(F.array(*[pair(i, c) for i, c in enumerate(columns)]))).where("text IS NOT NULL")
+    counted = pairs.groupBy("column", "exact", "number", "text").agg(F.count("*").alias("n"))
+    first = F.min(F.struct((-F.col("n")).alias("n"), "exact", "number", "text")).alias("best")
+    best = {r["column"]: r["best"]["text"] for r in counted.groupBy("column").agg(first).collect()}
+    return {c: best.get(i) for i, c in enumerate(columns)}
 
 
 def fill_missing(df: DataFrame, strategies: Mapping[str, str]) -> DataFrame:

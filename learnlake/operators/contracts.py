@@ -43,9 +43,12 @@ class ColumnRule:
 
 @dataclass(frozen=True)
 class TableContract:
+    """``unique_key`` makes the primary key a rule: rows that share one, nulls being a value, break it."""
+
     name: str
     primary_key: tuple[str, ...] = ()
     columns: tuple[ColumnRule, ...] = field(default_factory=tuple)
+    unique_key: bool = False
 
     def __post_init__(self) -> None:
         unknown = sorted({c.type for c in self.columns} - set(TYPES))
@@ -75,8 +78,24 @@ class TableContract:
         """Contract types for the known columns; the others pass through."""
         return df.withColumns(self._casts(df))
 
+    def _key_columns(self, df: DataFrame) -> list[str]:
+        """The key's columns where the key is a rule and the table has all of them."""
+        held = self.unique_key and self.primary_key and set(self.primary_key) <= set(df.columns)
+        return list(self.primary_key) if held else []
+
+    def _shared_keys(self, df: DataFrame) -> DataFrame:
+        """(key in contract types, n_rows) of keys that several rows have: counted per task before they meet."""
+        return duplicate_keys(self.cast(df), self._key_columns(df))
+
     def report(self, df: DataFrame) -> DataFrame:
-        """(column, rule, bad): bad rows per rule, from a single aggregate over the table."""
+        """(column, rule, bad): bad rows per rule, from a single aggregate over the table, and one more for the key."""
+        rules = self._rule_report(df)
+        if not (keys := self._key_columns(df)):
+            return rules
+        bad = self._shared_keys(df).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("bad"))
+        return rules.unionByName(bad.select(F.lit(",".join(keys)).alias("column"), F.lit("key").alias("rule"), "bad"))
+
+    def _rule_report(self, df: DataFrame) -> DataFrame:
         broken = self._broken(df)
         if not broken:
             return df.sparkSession.createDataFrame([], "column string, rule string, bad long")
@@ -102,16 +121,28 @@ class TableContract:
         return self.cast(df)
 
     def _text(self, column: str, rule: str) -> str:
+        if rule == "key":
+            return "the unique key"
         spec = next(c for c in self.columns if c.name == column)
         limit = {"allowed": spec.allowed, "min": spec.min, "max": spec.max, "cast": spec.type}.get(rule)
         return rule if limit is None else f"{rule} {limit}"
 
     def quarantine(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(good rows in contract types, bad rows as they came plus ``_violations``)."""
+        """(good rows in contract types, bad rows as they came plus ``_violations``).
+
+        Where the key is a rule, all rows that share a key are bad: nothing tells which of them is right.
+        """
         names = F.array_compact(F.array(*[
             F.when(bad, F.lit(f"{column}:{rule}")) for (column, rule), bad in self._broken(df).items()
-        ]))
+        ]).cast("array<string>"))
         marked = df.withColumn("_violations", names)
+        if keys := self._key_columns(df):
+            shared = self._shared_keys(df).select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.lit(True).alias("_shared"))
+            casts = self._casts(df)
+            same = [casts.get(k, F.col(k)).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+            flag = F.when(F.col("_shared"), F.array(F.lit(f"{','.join(keys)}:key"))).otherwise(F.array().cast("array<string>"))
+            marked = marked.join(shared, same, "left").withColumn("_violations", F.concat("_violations", flag)).select(
+                *df.columns, "_violations")
         good = self.cast(marked.filter(F.size("_violations") == 0).drop("_violations"))
         return good, marked.filter(F.size("_violations") > 0)
 
@@ -130,7 +161,7 @@ def parse_contract(text: str) -> TableContract:
         ColumnRule(**(c | {"allowed": tuple(c["allowed"])} if c.get("allowed") is not None else c))
         for c in raw.get("columns", [])
     )
-    return TableContract(raw["name"], tuple(raw.get("primary_key", ())), columns)
+    return TableContract(raw["name"], tuple(raw.get("primary_key", ())), columns, raw.get("unique_key", False))
 
 
 def load_contract(path: str | Path) -> TableContract:

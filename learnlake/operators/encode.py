@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.functions.columns import present
-from learnlake.functions.ordering import SMALL_TABLE_ROWS, small_or_plain
+from learnlake.functions.ordering import positions, settled
 from learnlake.operators.registry import CATEGORICAL
 
 # Fixed value: the category that stands for a missing one.
 UNKNOWN = "UNK"
+# Categories that may become columns.
+MOST_COLUMNS = 5_000
 
 
 def _text(column: str) -> Column:
@@ -25,16 +28,37 @@ def _distinct_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(F.array(*pairs))).distinct()
 
 
-def fit_one_hot(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, list[str]]:
+def fit_one_hot(df: DataFrame, columns: Sequence[str] | None = None, most: int = MOST_COLUMNS) -> dict[str, list[str]]:
     """Sorted categories per column; they name the output columns, hence they come to the driver.
 
-    For more categories than a schema should have columns, ``train.feature_stages`` encodes into a sparse vector.
+    More than ``most`` of them are no schema: then ``fit_ordinal`` and ``one_hot_vectors`` do the same in one column.
     """
     columns = list(columns or present(df, CATEGORICAL))
-    rows = _distinct_categories(df, columns).collect()
+    rows = _distinct_categories(df, columns).take(most + 1)
+    if len(rows) > most:
+        raise ValueError(f"over {most} categories in {columns}: use fit_ordinal and one_hot_vectors")
     return {c: sorted(r.value for r in rows if r["column"] == c) for c in columns}
 
 
+def one_hot_vectors(df: DataFrame, fitted: DataFrame, columns: Sequence[str], name: str = "one_hot") -> DataFrame:
+    """Add a sparse vector with a 1 per column at its category's position, for dictionaries of any size.
+
+    ``fitted`` is that of ``fit_ordinal``. The columns' positions follow one another; unknown values are all 0.
+    """
+    columns = list(columns)
+    sizes = {r["column"]: r["n"] for r in fitted.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    places = [f"{c}_place" for c in columns]
+    coded = apply_ordinal(df, fitted, columns, "_place").withColumns({
+        p: F.when(F.col(p) < 0, sizes.get(c, 0)).otherwise(F.col(p)).cast("double") for c, p in zip(columns, places, strict=True)})
+    # The encoder learns the sizes from one row with the place after the last, which stands for unknown and is dropped.
+    beyond = df.sparkSession.createDataFrame(
+        [tuple(float(sizes.get(c, 0)) for c in columns)], ", ".join(f"`{p}` double" for p in places))
+    vectors = [f"{c}_vector" for c in columns]
+    encoder = OneHotEncoder(inputCols=places, outputCols=vectors, dropLast=True).fit(beyond)
+    assembled = VectorAssembler(inputCols=vectors, outputCol=name).transform(encoder.transform(coded))
+    return assembled.select(*df.columns, name)
+
+
 def apply_one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> DataFrame:
     """Replace each column by 0/1 columns ``<column>_<category>``, appended last; unknown values are all 0."""
     rest = [c for c in df.columns if c not in categories]
@@ -45,34 +69,14 @@ def apply_one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> Dat
 
 
 def fit_ordinal(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Dimension (column, value, position): the index of each category in sorted order.
-
-    Exact for any number of categories. Many of them are ordered in ranges, cut at about a thousand
-    categories picked by hash; a category's index is the size of the earlier ranges plus its rank in its own.
-    """
-    distinct = _distinct_categories(df, columns)
-    total = distinct.count()
-    cuts = []
-    if total > SMALL_TABLE_ROWS:
-        picked = distinct.filter(F.pmod(F.xxhash64("value"), F.lit(total // 1000)) == 0)
-        cuts = sorted(r.value for r in picked.select("value").distinct().collect())
-    borders = F.array(*[F.lit(c) for c in cuts]).cast("array<string>")
-    ranged = distinct.withColumn("range", F.size(F.filter(borders, lambda c: c <= F.col("value"))))
-    before = Window.partitionBy("column").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("column", "range").agg(F.count("*").alias("n"))
-        .select("column", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
-    )
-    inside = Window.partitionBy("column", "range").orderBy("value")
-    return (
-        ranged.withColumn("rank", F.row_number().over(inside)).join(offsets, ["column", "range"])
-        .select("column", "value", (F.col("skip") + F.col("rank") - 1).cast("int").alias("position"))
-    )
+    """Dimension (column, value, position): the index of each category in sorted order, for any number of them."""
+    ranked = positions(_distinct_categories(df, columns), "column", "value")
+    return ranked.select("column", "value", F.col("position").cast("int").alias("position"))
 
 
 def apply_ordinal(df: DataFrame, fitted: DataFrame, columns: Sequence[str], suffix: str = "_ord") -> DataFrame:
     """Add ``<column><suffix>`` with the fitted position; -1 for values not seen in fitting."""
-    fitted = small_or_plain(fitted)
+    fitted = settled(fitted)
     for c in columns:
         codes = fitted.filter(F.col("column") == c).select(
             F.col("value").alias("_value"), F.col("position").alias(c + suffix))

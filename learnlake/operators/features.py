@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from learnlake import KEYS
 from learnlake.functions.columns import dense_week, known, mean_of_present, non_negative, present
 from learnlake.operators.registry import FEATURE_GROUPS, LABEL, ZERO_FILLED_PREFIXES
+from learnlake.session import shared_path
 
 COURSE = ["code_module", "code_presentation"]
-# Activity types up to this number are tracked as bits, 64 to a column.
-MAX_MASKED_TYPES = 512
 
 
 def with_known_keys(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
@@ -104,12 +103,11 @@ def assessment_features(
             F.count("id_assessment").alias("n_assessments_submitted"),
             F.avg("score").alias("mean_assessment_score"),
             F.stddev_samp("score").alias("std_assessment_score"),
-            F.median("late_days").alias("median_days_to_submission"),
             F.avg(F.coalesce(late, F.lit(0)) if null_due == "not_late" else late).alias("late_submission_ratio"),
             F.max("expected").alias("expected"),
         )
         .withColumn("n_assessments_missed", non_negative(F.col("expected") - F.col("n_assessments_submitted")))
-        .drop("expected")
+        .drop("expected").join(_median_lateness(facts), KEYS, "left")
     )
     if not missed_for_inactive:
         return submitted
@@ -123,6 +121,15 @@ def assessment_features(
     )
 
 
+def _median_lateness(facts: DataFrame) -> DataFrame:
+    """Median of the days late per student and course.
+
+    Equal days are counted first, which combines per task in plain numbers; the median is then taken over few rows.
+    """
+    days = with_known_keys(facts).filter(F.col("late_days").isNotNull()).groupBy(*KEYS, "late_days").agg(F.count("*").alias("n"))
+    return days.groupBy(*KEYS).agg(F.percentile("late_days", 0.5, F.col("n")).alias("median_days_to_submission"))
+
+
 def expected_assessments(assessments: DataFrame) -> DataFrame:
     """Number of assessments set per course presentation."""
     return with_known_keys(assessments, COURSE).groupBy(*COURSE).agg(F.count("id_assessment").alias("expected"))
@@ -186,29 +193,38 @@ def _temporal_columns(horizon: int) -> list[Column]:
     ]
 
 
-def _type_masks(vle: DataFrame) -> tuple[DataFrame, list[str]] | None:
-    """(sites with one bit per activity type in 64-bit mask columns, names of those columns).
+def _numbered_sites(clicks: DataFrame, vle: DataFrame) -> DataFrame:
+    """(id_site, word, bits): each activity type has a bit of its own in some 64-bit word.
+
+    Types are numbered in a written table, so that every use sees the same numbers; the numbers need not be dense. A
+    site without a type has none; where the site table has no types at all, every site met is one.
+    """
+    typed = "activity_type" in vle.columns
+    sites = _sites(vle) if typed else clicks.select("id_site").distinct()
+    column = "activity_type" if typed else "id_site"
+    path = shared_path(vle.sparkSession, "activity-types")
+    types = sites.select(F.col(column).alias("type")).filter(F.col("type").isNotNull()).distinct()
+    types.withColumn("number", F.monotonically_increasing_id()).write.parquet(path)
+    numbered = vle.sparkSession.read.parquet(path)
+    return sites.join(numbered, F.col(column) == F.col("type")).select(
+        "id_site", F.expr("number div 64").alias("word"), F.expr("shiftleft(1L, int(number % 64))").alias("bits"))
+
+
+def _resource_types(clicks: DataFrame, vle: DataFrame) -> DataFrame:
+    """Distinct activity types per student and course, for any number of types.
 
-    None when the types are unknown or too many for masks.
+    The types met are bits, OR-ed per word before the shuffle, and counted; a student has one row per word at most.
     """
-    if "activity_type" not in vle.columns:
-        return None
-    types = vle.filter(F.col("activity_type").isNotNull()).select("activity_type").distinct().take(MAX_MASKED_TYPES + 1)
-    if len(types) > MAX_MASKED_TYPES:
-        return None
-    numbered = vle.sparkSession.createDataFrame(
-        [(r.activity_type, i // 64, i % 64) for i, r in enumerate(types)], "activity_type string, word int, bit int")
-    masks = [f"types_{w}" for w in range(max(1, -(-len(types) // 64)))]
-    bits = [F.when(F.col("word") == w, F.expr("shiftleft(1L, bit)")).alias(m) for w, m in enumerate(masks)]
-    return _sites(vle).join(F.broadcast(numbered), "activity_type", "left").select("id_site", *bits), masks
-
-
-def _by_day(student_vle: DataFrame, sites: DataFrame, masks: list[str]) -> DataFrame:
+    words = with_known_keys(clicks).join(_numbered_sites(clicks, vle), "id_site").groupBy(*KEYS, "word").agg(F.bit_or("bits").alias("bits"))
+    return words.groupBy(*KEYS).agg(F.sum(F.bit_count("bits")).cast("bigint").alias("n_resource_types"))
+
+
+def _by_day(student_vle: DataFrame) -> DataFrame:
     """Clicks per student, course and day: what all click features need, in fixed-size numbers."""
     click = F.col("sum_click").cast("bigint")
-    return with_known_keys(student_vle.join(sites, "id_site", "left")).groupBy(*KEYS, "date").agg(
+    return with_known_keys(student_vle).groupBy(*KEYS, "date").agg(
         F.sum(click).alias("clicks"), F.count(click).alias("rows"), F.max("sum_click").alias("most"),
-        F.sum(click * click).alias("squares"), *[F.bit_or(m).alias(m) for m in masks])
+        F.sum(click * click).alias("squares"))
 
 
 def _whole_clicks(student_vle: DataFrame) -> bool:
@@ -229,29 +245,26 @@ def _spread() -> Column:
     return F.when(rows > 1, F.sqrt(scatter / (rows * (rows - 1))))
 
 
-def _from_days(student_vle: DataFrame, sites: DataFrame, masks: list[str], horizon: int) -> DataFrame:
+def _from_days(student_vle: DataFrame, vle: DataFrame, horizon: int) -> DataFrame:
     """All click features in two aggregates: by day, then by student and course.
 
-    Distinct days and distinct types become a count and an OR of bits, where ``count_distinct`` would send
-    every row three times. The first shuffle spreads a busy student over all days; the second one gets a
-    single partial row per key and task.
+    Distinct days become a count, where ``count_distinct`` would send every row again. The first shuffle spreads a busy
+    student over all days; the second one gets a single partial row per key and task.
     """
-    types = F.lit(0)
-    for m in masks:
-        types = types + F.bit_count(F.coalesce(F.bit_or(m), F.lit(0).cast("bigint")))
     aggregates = [
         F.coalesce(F.sum("clicks"), F.lit(0)).alias("total_clicks"),
         F.count("date").alias("active_days"),
         F.try_divide(F.sum("clicks"), F.sum("rows")).alias("mean_clicks_per_day"),
         F.max("most").alias("max_clicks_in_day"),
-        types.cast("bigint").alias("n_resource_types"),
         *_temporal_aggregates(horizon, "clicks", _spread()),
     ]
-    return _by_day(student_vle, sites, masks).groupBy(*KEYS).agg(*aggregates)
+    days = _by_day(student_vle).groupBy(*KEYS).agg(*aggregates)
+    return days.join(_resource_types(student_vle, vle), KEYS, "left").withColumn(
+        "n_resource_types", F.coalesce("n_resource_types", F.lit(0).cast("bigint")))
 
 
 def _from_rows(student_vle: DataFrame, vle: DataFrame, horizon: int, approx: bool) -> DataFrame:
-    """The same features straight from the rows: for approximate counts, fractional clicks, types beyond masks."""
+    """The same features straight from the rows: for approximate counts and fractional clicks."""
     clicks = with_activity_type(student_vle, vle)
     resource = "activity_type" if "activity_type" in clicks.columns else "id_site"
     distinct = F.approx_count_distinct if approx else F.count_distinct
@@ -271,8 +284,8 @@ def activity_features(
 ) -> DataFrame:
     """``vle_features`` and ``temporal_features`` in one pass over the clicks, for Gold."""
     clicks = _up_to(student_vle, "date", as_of_day)
-    masked = _type_masks(vle) if _whole_clicks(clicks) and not approx else None
-    grouped = _from_days(clicks, *masked, horizon) if masked else _from_rows(clicks, vle, horizon, approx)
+    by_day = _whole_clicks(clicks) and not approx
+    grouped = _from_days(clicks, vle, horizon) if by_day else _from_rows(clicks, vle, horizon, approx)
     return grouped.select(*KEYS, *FEATURE_GROUPS["vle_activity"], *_temporal_columns(horizon))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake import KEYS
-from learnlake.functions.ordering import hash_order, hash_thresholds, small_or_plain
+from learnlake.functions.ordering import hash_order, hash_thresholds, settled
 
 
 def _against_thresholds(
@@ -21,7 +21,7 @@ def _against_thresholds(
 ) -> DataFrame:
     hashed = df.withColumn("_h", hash_order(keys, seed))
     cuts = hash_thresholds(hashed.filter(F.col(label).isNotNull()), [label], "_h", ranks)
-    return hashed.join(small_or_plain(cuts), [label], "left")
+    return hashed.join(settled(cuts), [label], "left")
 
 
 def stratified_split(

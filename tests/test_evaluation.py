@@ -195,9 +195,7 @@ def test_folds_are_balanced(labelled, folds):
         assert set(per_fold) == set(range(1, folds + 1)) and max(per_fold.values()) - min(per_fold.values()) <= 1
 
 
-def test_many_classes_fall_back_to_a_shuffle_join(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "SMALL_TABLE_ROWS", 10)
-    monkeypatch.setattr(ordering.small_or_plain, "__defaults__", (10,))
+def test_many_classes(spark):
     df = spark.range(2000).selectExpr("id", "id % 200 AS y")
     out = split.stratified_folds(df, "y", 2, 0, ["id"])
     assert {r.n for r in out.groupBy("y", "fold").agg(F.count("*").alias("n")).collect()} == {5}
@@ -223,3 +221,24 @@ def test_fingerprint_tells_nulls_and_separators_apart(spark):
     b = spark.createDataFrame([("a", "b|c"), (None, "x")], "p string, q string")
     assert fingerprint(a).first().digest != fingerprint(b).first().digest
     assert fingerprint(a).first() == fingerprint(a.orderBy("q")).first()
+
+
+def test_sketches_of_all_tasks_never_meet(spark):
+    """Quantile sketches are merged per group of tasks, then per column: no exchange goes to a single partition."""
+    df = spark.range(0, 100_000, 1, 40).selectExpr("double(id % 5000) AS a", "double(id) AS b", "CAST(NULL AS DOUBLE) AS c")
+    plans = []
+    plain = type(df).collect
+
+    def watched(frame):
+        rows = plain(frame)
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    type(df).collect = watched
+    try:
+        cuts = ordering.cut_points(df, ["a", "b", "c"], [0.25, 0.5, 0.75])
+    finally:
+        type(df).collect = plain
+    assert plans and "kll" in plans[0] and "SinglePartition" not in plans[0]
+    assert cuts["c"] == [] and all(abs(x - q * 5000) < 60 for x, q in zip(cuts["a"], (0.25, 0.5, 0.75), strict=True))
+    assert ordering.cut_points(df.limit(0), ["a"], [0.5]) == {"a": []}

@@ -147,15 +147,13 @@ def test_hot_student_equals_uniform_computation(spark, vle):
 
 @pytest.mark.parametrize("types", [1, 64, 65, 150])
 def test_day_level_equals_row_level(spark, types):
-    """Bit masks over one or several words against plain distinct counts; null days, clicks and types included."""
+    """Bits over one or several words against plain distinct counts; null days, clicks and types included."""
     clicks = spark.range(5000).selectExpr(
         "'A' AS code_module", "'P' AS code_presentation", "id % 40 AS id_student", "id * 31 % 200 AS id_site",
         "CASE WHEN id % 17 > 0 THEN CAST(id % 35 - 3 AS INT) END AS date",
         "CASE WHEN id % 13 > 0 THEN CAST(id * id % 1000 AS INT) END AS sum_click")
     sites = spark.range(190).selectExpr("id AS id_site", f"CASE WHEN id % 19 > 0 THEN concat('t', id % {types}) END AS activity_type")
-    masked = ft._type_masks(sites)
-    assert len(masked[1]) == -(-types // 64)
-    days = by_student(ft._from_days(clicks, *masked, 4))
+    days = by_student(ft._from_days(clicks, sites, 4))
     rows = by_student(ft._from_rows(clicks, sites, 4, False))
     assert set(days) == set(rows)
     for student, row in rows.items():
@@ -170,14 +168,13 @@ def test_fractional_clicks(spark, vle):
     assert row.total_clicks == 5.75 and row.session_duration_variance == pytest.approx(stdev([0.5, 1.25, 4.0]))
 
 
-def test_too_many_types_fall_back_to_distinct_counts(spark, student_vle, vle, monkeypatch):
-    monkeypatch.setattr(ft, "MAX_MASKED_TYPES", 2)
+def test_a_type_per_site(spark, student_vle, vle):
     own = vle.withColumn("activity_type", F.col("id_site").cast("string"))
-    assert ft._type_masks(own) is None
     rows = by_student(ft.activity_features(student_vle, own))
     assert (rows[1].n_resource_types, rows[2].n_resource_types) == (3, 2)
 
 
+
 def test_gold_plan_is_jvm_only_without_cross_joins_or_windows(gold):
     plan = gold._jdf.queryExecution().optimizedPlan().toString()
     assert not any(word in plan for word in ("PythonUDF", "Window", "Cross"))
@@ -193,3 +190,23 @@ def test_as_of_day_hides_later_registration_days(spark):
     got = {r.id_student: (r.days_to_registration, r.days_to_unregistration)
            for r in registration_features(frame, as_of_day=14).collect()}
     assert got == {1: (-5, None), 2: (None, 3)}
+
+
+def test_any_number_of_activity_types(spark):
+    """600 types, once the limit of another plan: distinct ones are counted per student."""
+    sites = spark.range(1200).selectExpr("id AS id_site", "CASE WHEN id % 10 <> 0 THEN concat('t', id % 600) END AS activity_type")
+    clicks = spark.range(20_000).selectExpr(
+        "id % 7 AS id_student", "'A' AS code_module", "'P' AS code_presentation", "(id * 31) % 1300 AS id_site",
+        "id % 40 AS date", "1L AS sum_click")
+    got = {r.id_student: r.n_resource_types for r in ft.vle_features(clicks, sites).collect()}
+    plain = clicks.join(sites, "id_site", "left").groupBy("id_student").agg(F.count_distinct("activity_type").alias("n"))
+    assert got == {r.id_student: r.n for r in plain.collect()} and max(got.values()) > 500
+    untyped = ft.vle_features(clicks, sites.select("id_site")).collect()
+    assert {r.id_student for r in untyped} == set(got)
+
+
+def test_no_object_aggregate_over_submissions(spark, no_assessments, no_submissions):
+    """The only object aggregate, the median's, reads counts of equal days."""
+    plan = ft.assessment_features(no_assessments, no_submissions)._jdf.queryExecution().executedPlan().toString()
+    objects = [line for line in plan.splitlines() if "ObjectHashAggregate" in line]
+    assert objects and all("percentile(late_days" in line and ", n#" in line for line in objects)

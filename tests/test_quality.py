@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from learnlake.functions.columns import WHITESPACE, cast_or_null, strip
-from learnlake.operators import clean, encode, profile
+from learnlake.operators import clean, contracts, encode, profile
 from learnlake.operators.contracts import (
     ContractViolation, duplicate_keys, load_contract, missingness_profile, parse_contract)
 
@@ -146,11 +146,69 @@ def test_one_hot(spark):
     assert {tuple(r) for r in out.collect()} == {(9, 0.0, 0.0, 0.0), (8, 0.0, 1.0, 0.0)}
 
 
-def test_ordinal_small_and_large(spark, monkeypatch):
+def test_ordinal_of_many_categories(spark):
     words = spark.range(5000).selectExpr("concat('w', lpad(cast(id * 7 % 3001 as string), 4, '0')) AS c")
     expected = {v: i for i, v in enumerate(sorted({r.c for r in words.collect()}))}
     assert {r.value: r.position for r in encode.fit_ordinal(words, ["c"]).collect()} == expected
-    monkeypatch.setattr(encode, "SMALL_TABLE_ROWS", 1000)
-    assert {r.value: r.position for r in encode.fit_ordinal(words, ["c"]).collect()} == expected
     coded = encode.apply_ordinal(spark.createDataFrame([("w0001",), ("no",)], "c string"), encode.fit_ordinal(words, ["c"]), ["c"])
     assert {r.c: r.c_ord for r in coded.collect()} == {"w0001": 1, "no": -1}
+
+
+def test_one_hot_vectors_equal_columns(spark):
+    df = spark.createDataFrame([(1, "b", "x"), (2, "a", None), (3, None, "y")], "id long, c string, d string")
+    fitted = encode.fit_ordinal(df, ["c", "d"])
+    other = df.unionByName(spark.createDataFrame([(9, "zzz", "x")], "id long, c string, d string"))
+    wide = encode.apply_one_hot(other, encode.fit_one_hot(df, ["c", "d"]))
+    got = {r.id: (r.one_hot.toArray().tolist(), len(r.one_hot.indices)) for r in encode.one_hot_vectors(other, fitted, ["c", "d"]).collect()}
+    assert got == {r.id: (list(r[1:]), int(sum(r[1:]))) for r in wide.collect()}
+    with pytest.raises(ValueError, match="one_hot_vectors"):
+        encode.fit_one_hot(df, ["c", "d"], most=3)
+
+
+def test_dictionary_of_a_million_categories(spark):
+    """The same plan for any size: nothing of the dictionary reaches the driver."""
+    words = spark.range(0, 1_000_000, 1, 8).selectExpr("concat('w', lpad(cast(id as string), 7, '0')) AS c")
+    fitted = encode.fit_ordinal(words, ["c"])
+    row = fitted.selectExpr("count(*) AS n", "sum(int(substr(value, 2) = position)) AS same").first()
+    assert tuple(row) == (1_000_000, 1_000_000)
+    last = encode.one_hot_vectors(spark.createDataFrame([("w0999999",)], "c string"), fitted, ["c"]).first().one_hot
+    assert last.size == 1_000_000 and last.indices.tolist() == [999_999]
+
+
+def test_modes_of_many_columns_in_one_job(spark):
+    rows = [(1, 1.5, "b", True), (1, float("nan"), "a", None), (2, 2.5, "a", False), (2, 2.5, "b", False), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "i long, f double, s string, b boolean").withColumn("d", F.lit(None).cast("date"))
+    filled = clean.fill_missing(df, dict.fromkeys(df.columns, "mode")).where("s IS NOT NULL AND i IS NOT NULL").collect()
+    assert clean._modes(df, df.columns) == {"i": "1", "f": "2.5", "s": "a", "b": "false", "d": None}
+    assert filled[-1].d is None and {r.b for r in filled} == {True, False}
+    big = spark.createDataFrame([(9007199254740993,), (9007199254740992,)], "i long")
+    assert clean._modes(big, ["i"]) == {"i": "9007199254740992"}
+
+
+KEYED = """
+name: keyed
+primary_key: [a, b]
+unique_key: true
+columns:
+  - {name: a, type: long}
+  - {name: b, type: string}
+  - {name: c, type: double, min: 0}
+"""
+
+
+def test_key_rule(spark):
+    contract = contracts.parse_contract(KEYED)
+    rows = [("1", "x", 1.0), ("01", "x", 2.0), ("2", None, -1.0), ("2", None, 3.0), ("3", "y", 4.0), ("4", "z", -5.0)]
+    df = spark.createDataFrame(rows, "a string, b string, c double")
+    assert {(r["column"], r.rule): r.bad for r in contract.report(df).collect() if r.bad} == {("a,b", "key"): 4, ("c", "min"): 2}
+    with pytest.raises(contracts.ContractViolation, match="column 'a,b': 4 rows break the unique key"):
+        contract.enforce(df)
+    good, bad = contract.quarantine(df)
+    assert [tuple(r) for r in good.collect()] == [(3, "y", 4.0)]
+    assert sorted((r.a, r.b, r.c, tuple(r._violations)) for r in bad.collect() if r.b) == [
+        ("01", "x", 2.0, ("a,b:key",)), ("1", "x", 1.0, ("a,b:key",)), ("4", "z", -5.0, ("c:min",))]
+    assert sorted(tuple(r._violations) for r in bad.where("b IS NULL").collect()) == [("a,b:key",), ("c:min", "a,b:key")]
+    assert contract.enforce(df.where("a = '3'")).count() == 1
+    assert contract.report(df.drop("b")).where("rule = 'key'").count() == 0
+    empty = contract.quarantine(df.limit(0))
+    assert [x.count() for x in empty] == [0, 0]
