@@ -58,20 +58,17 @@ def bronze_file_order_dedup(v: Views) -> DataFrame:
 
 
 @query("csv_quoted_fields", """
-    SELECT doc_id, CASE WHEN doc_id % 7 > 0 THEN 'say "' || replace(left(text, 40), chr(10), ' ') || '", you' END AS txt,
+    SELECT doc_id, CASE WHEN doc_id % 7 > 0 THEN 'say "' || replace(text, chr(10), ' ') || '", you' END AS txt,
       CASE WHEN doc_id % 5 > 0 THEN n_chars END AS n_chars FROM documents""")
 def csv_quoted_fields(v: Views) -> DataFrame:
     """Quotes, commas and missing-value texts survive the way through a file, and the columns next to them too.
 
-    Whole texts with their line breaks make that way; only what is read is cut to what the SQL states.
+    Whole texts with their line breaks make that way, one task per file; here the breaks become spaces afterwards.
     """
-    read = quoted_texts(v)
-    body = F.expr("substring(txt, 6, length(txt) - 11)")
-    short = F.concat(F.lit('say "'), F.replace(F.left(body, F.lit(40)), F.lit("\n"), F.lit(" ")), F.lit('", you'))
-    return read.withColumn("txt", F.when(F.col("txt").isNotNull(), short))
+    return quoted_texts(v, True).withColumn("txt", F.replace("txt", F.lit("\n"), F.lit(" ")))
 
 
-def quoted_texts(v: Views) -> DataFrame:
+def quoted_texts(v: Views, multi_line: bool | str) -> DataFrame:
     """(doc_id, txt, n_chars) of the documents, written as CSV and read again."""
     docs = v.spark.read.parquet(f"{v.sf_dir}/documents.parquet")
     path = shared_path(v.spark, "quoted-csv")
@@ -79,15 +76,15 @@ def quoted_texts(v: Views) -> DataFrame:
         "doc_id", F.when(F.col("doc_id") % 7 > 0, F.concat(F.lit('say "'), "text", F.lit('", you'))).otherwise("NA").alias("txt"),
         F.when(F.col("doc_id") % 5 > 0, F.col("n_chars").cast("string")).otherwise("NaN").alias("n_chars"),
     ).write.options(header=True, escape='"').csv(path)
-    return tables.read_csv(v.spark, path, multi_line=True)
+    return tables.read_csv(v.spark, path, multi_line=multi_line)
 
 
 @query("csv_whole_texts", """
     SELECT doc_id, CASE WHEN doc_id % 7 > 0 THEN 'say "' || text || '", you' END AS txt,
       CASE WHEN doc_id % 5 > 0 THEN n_chars END AS n_chars FROM documents""")
 def csv_whole_texts(v: Views) -> DataFrame:
-    """The same on whole texts with their line breaks, nothing cut on either side."""
-    return quoted_texts(v)
+    """The same on whole texts with their line breaks, by splits of the files."""
+    return quoted_texts(v, "split")
 
 
 @query("csv_long_ids", """

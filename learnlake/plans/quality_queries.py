@@ -58,6 +58,27 @@ def contract_quarantine(v: Views) -> DataFrame:
         bad.select(*columns, F.array_join("_violations", ",").alias("violations")))
 
 
+KEY_CONTRACT = """
+name: registration
+primary_key: [id_student, code_module, code_presentation]
+unique_key: true
+columns:
+  - {name: id_student, type: long, nullable: false}
+  - {name: code_module, type: string, nullable: false}
+"""
+
+
+@query("contract_key_rule", f"""
+    SELECT {K}, ord, CASE WHEN count(*) OVER (PARTITION BY {K}) > 1
+      THEN 'id_student,code_module,code_presentation:key' ELSE '' END AS violations FROM v_registration""")
+def contract_key_rule(v: Views) -> DataFrame:
+    """Rows that share a key are kept apart from those whose key is theirs alone."""
+    good, bad = parse_contract(KEY_CONTRACT).quarantine(v.registration)
+    columns = [*KEYS, "ord"]
+    return good.select(*columns, F.lit("").alias("violations")).unionByName(
+        bad.select(*columns, F.array_join("_violations", ",").alias("violations")))
+
+
 @query("pk_violations", """
     SELECT id_student, code_module, code_presentation, id_site, date, count(*) AS n_rows
     FROM v_student_vle GROUP BY ALL HAVING count(*) > 1""")

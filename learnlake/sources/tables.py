@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from learnlake.operators.features import COURSE
+from learnlake.sources import quoted_csv
 
 # Order of the rows within a Bronze table, as in the files they came from: a table is usually a folder of parts.
 FILE_ORDER = ["_source_path", "_source_block", "_ingest_seq"]
@@ -30,27 +31,46 @@ PROVENANCE = ["_ingest_ts", "_source_file", "_source_system", "_source_path", "_
 
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = True,
-    multi_line: bool = False, na_tokens: Sequence[str] = NA_TOKENS,
+    multi_line: bool | str = False, na_tokens: Sequence[str] = NA_TOKENS,
 ) -> DataFrame:
     """CSV with a header row; fields may be quoted, a quote inside is doubled, and ``na_tokens`` are null.
 
     With a schema, the header has to match it. Otherwise all columns are text, or with ``infer`` get the
     narrowest of long, double, boolean and text that holds every value, at the price of one more pass. Whole numbers
     too long for a long stay text, so that no two ids become one. ``multi_line`` allows line breaks in quoted
-    fields; such files cannot be split.
+    fields, one task per file; "split" does so in any number of tasks, without file metadata.
     """
+    if multi_line == "split":
+        return _read_split(spark, path, schema, infer, na_tokens)
     reader = spark.read.options(header=True, nullValue="", enforceSchema=False, quote='"', escape='"', multiLine=multi_line)
     if schema is not None:
         wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
         text = StructType([StructField(f.name, StringType(), True, f.metadata) for f in wanted.fields])
-        raw = _without_na(reader.schema(text).csv(path), na_tokens)
-        return raw.select(*[
-            F.col(f"`{f.name}`").alias(f.name) if isinstance(f.dataType, StringType)
-            else F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
+        return _typed(_without_na(reader.schema(text).csv(path), na_tokens), wanted)
     raw = _without_na(reader.csv(path), na_tokens)
     return _with_inferred_types(raw) if infer else raw
 
 
+def _typed(raw: DataFrame, wanted: StructType) -> DataFrame:
+    return raw.select(*[
+        F.col(f"`{f.name}`").alias(f.name) if isinstance(f.dataType, StringType)
+        else F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
+
+
+def _read_split(
+    spark: SparkSession, path: str, schema: StructType | str | None, infer: bool, na_tokens: Sequence[str]
+) -> DataFrame:
+    """Quoted line breaks in any number of tasks; the header row itself has none."""
+    header = spark.read.options(header=True, quote='"', escape='"').csv(path).columns
+    raw = _without_na(quoted_csv.parsed(quoted_csv.records(spark, path), header).select(*[f"`{c}`" for c in header]), na_tokens)
+    if schema is not None:
+        wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        if [f.name for f in wanted.fields] != header:
+            raise ValueError(f"header {header} does not match {[f.name for f in wanted.fields]}")
+        return _typed(raw, wanted)
+    return _with_inferred_types(raw) if infer else raw
+
+
 def _without_na(raw: DataFrame, tokens: Sequence[str]) -> DataFrame:
     """Missing-value texts as null; file metadata stays reachable."""
     return raw.select(*[F.when(~F.col(f"`{c}`").isin(*tokens), F.col(f"`{c}`")).alias(c) for c in raw.columns])
