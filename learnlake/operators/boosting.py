@@ -9,7 +9,7 @@ and bins, never on that of the rows. Barrier tasks wait for one another in steps
 only started for many rows.
 
 Several models that share the binned rows and differ in the rows they train on, such as those of the folds of a cross
-validation, grow side by side, one exchange for all of them.
+validation, grow side by side: one exchange serves all of them, and where the rows fit one task each model has its own.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ BLOCK_ROWS = 16_384
 ROWS_PER_TASK = 262_144
 # Open leaves whose children are counted in one exchange when growing by gain.
 LOOK_AHEAD = 8
-# Cells of a (row, column) table that are counted at once.
-COUNTED_CELLS = 1 << 21
+# Rows from which on columns are counted one by one.
+MANY_ROWS = 4_096
 TRAIN, VALIDATE = 1, 2
 
 
@@ -241,18 +241,21 @@ def known(nodes: Sequence[_Node], hists: np.ndarray, features: np.ndarray, s: Bo
 
 def _count(bins: np.ndarray, groups: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray]], features: np.ndarray, n_bins: int) -> np.ndarray:
     """Histograms (group, feature, bin, 3) of groups (rows, gradient, Hessian), all in one pass over their rows."""
-    width, size = len(features), len(groups) * len(features) * n_bins
+    width, n = len(features), len(groups)
     rows = np.concatenate([r for r, _, _ in groups])
     g, h = (np.concatenate([x[k][x[0]] for x in groups]) for k in (1, 2))
-    group = np.repeat(np.arange(len(groups)) * (width * n_bins), [len(r) for r, _, _ in groups])
-    offsets, out = (np.arange(width) * n_bins)[:, None], np.zeros((size, 3))
-    step = max(1, COUNTED_CELLS // max(width, 1))
-    for at in range(0, len(rows), step):
-        part = slice(at, at + step)
-        cells = (bins[np.ix_(features, rows[part])] + offsets + group[part]).ravel()
-        for channel, weights in enumerate((np.tile(g[part], width), np.tile(h[part], width), None)):
-            out[:, channel] += np.bincount(cells, weights, size)
-    return out.reshape(len(groups), width, n_bins, 3)
+    group = np.repeat(np.arange(n) * n_bins, [len(r) for r, _, _ in groups])
+    if len(rows) >= MANY_ROWS:
+        out = np.empty((n, width, n_bins, 3))
+        for i, f in enumerate(features):
+            cells = bins[f, rows] + group
+            for channel, weights in enumerate((g, h, None)):
+                out[:, i, :, channel] = np.bincount(cells, weights, n * n_bins).reshape(n, n_bins)
+        return out
+    # Few rows: one call for all columns.
+    cells = (bins[np.ix_(features, rows)] + (np.arange(width) * n * n_bins)[:, None] + group).ravel()
+    channels = [np.bincount(cells, w, width * n * n_bins) for w in (np.tile(g, width), np.tile(h, width), None)]
+    return np.stack(channels, axis=-1).reshape(width, n, n_bins, 3).swapaxes(0, 1)
 
 
 class _Model:
@@ -419,33 +422,42 @@ def fit_many(
         before = [(m, forests[m], losses[m][:-1]) for m in open_]
 
         def run(batches: Iterable[pa.RecordBatch], begin=done, end=end, before=before) -> Iterator[pa.RecordBatch]:
-            parts: list[tuple[np.ndarray, ...]] = []
+            parts: dict[int, list[tuple[np.ndarray, ...]]] = {}
             for batch in batches:
                 for row in batch.to_pylist():
                     n = row["n"]
-                    parts.append((
+                    parts.setdefault(row["model"], []).append((
                         np.frombuffer(row["bins"], np.uint8).reshape(width, n), np.frombuffer(row["label"]),
                         np.frombuffer(row["roles"], np.int8).reshape(len(roles), n), np.frombuffer(row["keys"], np.int64)))
             empty = (np.empty((width, 0), np.uint8), np.empty(0), np.empty((len(roles), 0), np.int8), np.empty(0, np.int64))
-            bins, y, role, keys = (np.concatenate(x, axis=-1) for x in zip(*(parts or [empty]), strict=True))
-            bins = bins.astype(np.int64) if bins.size < COUNTED_CELLS else bins
-            context = BarrierTaskContext.get()
+            # Model -1 stands for all of them; a task of its own model has the same blocks as the others.
+            held = next(iter(parts.values()), [empty])
+            bins, y, role, keys = (np.concatenate(x, axis=-1) for x in zip(*held, strict=True))
             models = []
             for m, forest, lost in before:
+                if tasks == 1 and m not in parts:
+                    continue
                 margin = np.zeros(len(y))
                 for tree in forest:
                     margin += tree.margins(bins)
                 models.append(_Model(m, role[m], margin, list(lost)))
-            found = grow(bins, y, keys, models, begin, end, n_bins, settings, _summed(context), validated)
-            for m, round_, loss, tree in found:
-                if context.partitionId() == 0:
+            context = BarrierTaskContext.get() if tasks > 1 else None
+            add = _summed(context) if context else lambda array: array
+            for m, round_, loss, tree in grow(bins, y, keys, models, begin, end, n_bins, settings, add, validated):
+                if context is None or context.partitionId() == 0:
                     yield pa.RecordBatch.from_pydict({
                         "model": pa.array([m], pa.int32()), "round": pa.array([round_], pa.int32()), "loss": pa.array([loss], pa.float64()),
                         **{c: pa.array([getattr(tree, c)], pa.list_(pa.int32())) for c in ("feature", "bin", "left", "right")},
                         **{c: pa.array([getattr(tree, c)], pa.list_(pa.float64())) for c in ("value", "count", "gain")}})
 
-        # A barrier stage may not merge partitions, so the blocks are dealt anew: there are few, and all start at once.
-        answered = blocks.repartition(tasks).mapInArrow(run, _TREE, barrier=True).collect()
+        if tasks > 1:
+            # A barrier stage may not merge partitions, so the blocks are dealt anew: there are few, and all start at once.
+            stage = blocks.withColumn("model", F.lit(-1)).repartition(tasks).mapInArrow(run, _TREE, barrier=True)
+        else:
+            # The rows fit one task, so nothing is exchanged, and every model gets a task of its own.
+            each = blocks.withColumn("model", F.explode(F.array(*[F.lit(m) for m in open_])))
+            stage = each.repartitionByRange(len(open_), "model").mapInArrow(run, _TREE)
+        answered = stage.collect()
         for r in sorted(answered, key=lambda r: (r["model"], r["round"])):
             m = r["model"]
             losses[m] = losses[m][:r["round"]] + [r["loss"]]
