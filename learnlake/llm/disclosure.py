@@ -1,24 +1,27 @@
 """Personal data, and terms that disclose it.
 
 Base detection finds e-mail addresses, IP addresses, payment cards and phone numbers by form. What stands near such an
-entity may give it away as well. How strongly is estimated from the corpus: with document counts n, a term t discloses
-an entity c where their pointwise mutual information reaches a share of the entity's information content,
+entity may give it away as well. How strongly is estimated from the corpus. Entities form classes: one for each value,
+and one for each domain, network or number prefix, so that values found in few documents are judged together. With
+document counts n, the share of a term's documents that hold class c is estimated from below (Wilson's bound)
 
-    PMI(c; t) = ln(n(c,t) N / (n(c) n(t)))  >=  threshold * IC(c) = threshold * ln(N / n(c)),
+    p(c|t) = lower bound of n(c,t) / n(t),
 
-so 1 means that t never occurs without c. One or two documents are little evidence for that: a pair seen in fewer than
-``support`` of them is judged by the same measure with n(c,t) / n(t) smoothed by one document of the prior n(c) / N,
+and a term discloses c where both
 
-    (n(c,t) + n(c) / N) / (n(t) + 1),
+    -log2 p(c|t)                <=  ``remaining_bits``   (little is left to guess about c once t is known), and
+    log2(p(c|t) / (n(c) / N))   >=  ``gained_bits``      (t tells much more than c's frequency alone).
 
-so that entities of any document count are judged, and a single coincidence weighs more the larger the corpus. Such
-terms are generalised, or removed where they fully disclose, wherever they occur in any text. Counts are of whole
-documents and cover all of them.
+The bound is one continuous formula for all counts: a coincidence in one or two documents never suffices, and the size
+of the corpus N matters only for classes in a good part of all documents. Disclosing terms are generalised, or removed
+where p(c|t) reaches ``remove_share``, wherever they occur in any text. Counts are of whole documents and cover all of
+them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -28,7 +31,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlake.llm.common import fresh, in_slices, written
@@ -48,17 +51,34 @@ _RUN = re.compile(r"[^\W_]{2,}")
 _LETTERS = re.compile(r"[^\W\d_]{2,}")
 _ANY_DIGIT = re.compile(r"\d")
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "gone": ""}
-# Bits of the prefilter for terms whose frequency is wanted: its size does not depend on the corpus.
-FILTER_BITS = 1 << 22
+# Characters of a value's leading digits that form its pool.
+POOL_DIGITS = {"card": 6, "phone": 5}
+# Bits per disclosing term in the filter that saves looking up most terms of a text, and the most bits it may have.
+FILTER_BITS, MOST_FILTER_BITS = 32, 1 << 26
+# Term counts a task holds before it sends them.
+COUNTED_TERMS = 500_000
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Pairs of fewer than ``support`` documents are smoothed; ``window`` is kept for callers and limits nothing."""
+    """Thresholds in bits; ``z`` is the number of standard errors of the lower bound."""
 
-    window: int = 8
-    support: int = 3
-    threshold: float = 0.9
+    remaining_bits: float = 1.0
+    gained_bits: float = 2.0
+    z: float = 1.96
+    remove_share: float = 0.9
+
+    @property
+    def least_documents(self) -> int:
+        """The fewest documents of a pair that could pass, if the term had no others: n / (n + z * z) is the bound."""
+        share = 2.0 ** -self.remaining_bits
+        return max(1, math.ceil(self.z ** 2 * share / (1 - share) - 1e-9))
+
+
+def lower_bound(hits: Column, n: Column, z: float) -> Column:
+    """Wilson's lower bound of a share of which ``hits`` of ``n`` were seen."""
+    share, z2 = hits / n, z * z
+    return (share + z2 / (2 * n) - z * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -99,10 +119,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _entity(kind: str, value: str) -> int:
-    """Identity of a value: letter case and the punctuation of numbers make no difference."""
-    plain = value.lower() if kind in ("email", "ip") else "".join(c for c in value if c in "0123456789")
-    return xxhash.xxh64_intdigest(f"{kind}:{plain}") - (1 << 63)
+def classes_of(kind: str, value: str) -> set[int]:
+    """The value itself, whatever its letter case or punctuation, and its domain, network or leading digits."""
+    if kind in POOL_DIGITS:
+        plain = "".join(c for c in value if c in "0123456789")
+        pool = plain[:POOL_DIGITS[kind]]
+    else:
+        plain = value.lower()
+        pool = plain.partition("@")[2] if kind == "email" else plain.rpartition(".")[0]
+    return {xxhash.xxh64_intdigest(name) - (1 << 63) for name in (f"{kind}:{plain}", f"{kind} pool:{pool}")}
 
 
 def terms_of(text: str) -> list[tuple[str, int, int]]:
@@ -149,7 +174,7 @@ def _joined(spans: Iterable[tuple[str, int, int]]) -> str:
 
 
 def holders(docs: DataFrame) -> DataFrame:
-    """(uid, entities, terms): what the documents that hold an entity hold, each once, written to the shared folder."""
+    """(uid, classes, terms): what the documents that hold an entity hold, each once, written to the shared folder."""
     source = docs.select(F.monotonically_increasing_id().alias("uid"), "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,13 +183,14 @@ def holders(docs: DataFrame) -> DataFrame:
             for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if spans := base_spans(text or ""):
                     near = outside(terms_of(text), spans, len(text))
-                    rows.append((uid, sorted({_entity(k, text[a:b]) for k, a, b in spans}), list({t for t, *_ in near})))
-            uids, entities, terms = zip(*rows, strict=True) if rows else ((), (), ())
+                    found = set().union(*(classes_of(k, text[a:b]) for k, a, b in spans))
+                    rows.append((uid, sorted(found), list({t for t, *_ in near})))
+            uids, classes, terms = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_pydict({
-                "uid": pa.array(uids, pa.int64()), "entities": pa.array(entities, pa.list_(pa.int64())),
+                "uid": pa.array(uids, pa.int64()), "classes": pa.array(classes, pa.list_(pa.int64())),
                 "terms": pa.array(terms, pa.list_(pa.string()))})
 
-    return written(source.mapInArrow(run, "uid long, entities array<bigint>, terms array<string>"), "entity-holders")
+    return written(source.mapInArrow(run, "uid long, classes array<bigint>, terms array<string>"), "entity-holders")
 
 
 def locate(docs: DataFrame, keep: list[str], terms: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -181,10 +207,10 @@ def locate(docs: DataFrame, keep: list[str], terms: DataFrame) -> tuple[DataFram
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in kept]
     order = [f.name for f in source.schema if f.name in kept]
     added = [f"`{new[n]}` {kind}" for n, kind in (part.strip().split(" ", 1) for part in FOUND.split(", "))]
-    wanted = _term_filter(terms)
+    wanted = TermFilter(terms)
 
     def places(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-        passing = {t for t in distinct_terms(text) if wanted[crc32(t.encode()) % FILTER_BITS]}
+        passing = wanted.passing(distinct_terms(text)) if wanted.marked else None
         if not passing:
             return []
         here = [t for t in terms_of(text) if t[0] in passing]
@@ -204,69 +230,82 @@ def locate(docs: DataFrame, keep: list[str], terms: DataFrame) -> tuple[DataFram
     return written(source.mapInArrow(run, ", ".join([*fields, *added])), "personal-data"), new
 
 
-def _term_filter(terms: DataFrame) -> bytes:
-    """One bit per CRC of a wanted term: ``FILTER_BITS`` bits whatever the number of terms."""
-    bit = F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(FILTER_BITS))
-    rows = (
-        terms.select(F.shiftright(bit.cast("long"), 5).alias("word"), bit.bitwiseAND(F.lit(31)).cast("int").alias("bit"))
-        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect()
-    )
-    bits = np.zeros(FILTER_BITS // 32, np.uint32)
-    for r in rows:
-        bits[r["word"]] = r["bits"]
-    return np.unpackbits(bits.view(np.uint8), bitorder="little").tobytes()
+class TermFilter:
+    """One bit per CRC of a term: passes all of ``terms``, and few others while there are bits enough."""
+
+    def __init__(self, terms: DataFrame) -> None:
+        count = terms.count()
+        self.bits = min(MOST_FILTER_BITS, max(1 << 10, 1 << (FILTER_BITS * count).bit_length()))
+        bit = F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(self.bits))
+        rows = (
+            terms.select(F.shiftright(bit.cast("long"), 5).alias("word"), bit.bitwiseAND(F.lit(31)).cast("int").alias("bit"))
+            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect()
+        )
+        words = np.zeros(self.bits // 32, np.uint32)
+        for r in rows:
+            words[r["word"]] = r["bits"]
+        self.marked = words.view(np.uint8).tobytes() if count else b""
+
+    def passing(self, terms: Iterable[str]) -> set[str]:
+        if not self.marked:
+            return set()
+        out = set()
+        for t in terms:
+            h = crc32(t.encode()) % self.bits
+            if self.marked[h >> 3] >> (h & 7) & 1:
+                out.add(t)
+        return out
+
+
+def document_frequency(docs: DataFrame) -> DataFrame:
+    """(term, n_term): in how many rows of ``docs`` (text) each term occurs, counted per task before the shuffle."""
 
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
 
-def document_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, n_term): in how many rows of ``docs`` (text) each of ``terms`` occurs.
-
-    Rows are counted per task before the shuffle; a fixed-size filter keeps most unwanted terms from being sent, and
-    the join with ``terms`` drops the rest.
-    """
-    wanted = _term_filter(terms)
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "term": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, "text", SLICE_BYTES):
-            seen: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
                 if text:
                     seen.update(distinct_terms(text))
-            kept = [(t, n) for t, n in seen.items() if wanted[crc32(t.encode()) % FILTER_BITS]]
-            yield pa.RecordBatch.from_pydict({
-                "term": pa.array([t for t, _ in kept], pa.string()), "n": pa.array([n for _, n in kept], pa.int64())})
+            if len(seen) > COUNTED_TERMS:
+                yield flush()
+                seen.clear()
+        yield flush()
 
-    counted = docs.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
-    return counted.join(terms, "term", "left_semi")
+    return docs.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
 def disclosing_terms(docs: DataFrame, rule: Disclosure) -> DataFrame:
-    """(term, share): terms whose PMI with an entity reaches ``rule.threshold`` of its information content.
+    """(term, share): terms that disclose a class of entities, and the largest lower bound of their share.
 
-    Terms are counted with the entities of the whole document. Entities with the same documents have the same counts
-    and are one class, known by its size and a hash of its documents: a list of addresses that are found nowhere else
-    is paired with the terms of its document once.
+    Pairs are only counted for classes and terms that could pass: the class and the term must be in enough documents
+    that hold an entity, and most of the term's documents must hold one. Classes with the same documents have the same
+    counts and are one, known by its size and a hash of its documents.
     """
     held = holders(docs)
-    single = held.select("uid", F.explode("entities").alias("entity"))
-    sizes = single.groupBy("entity").agg(
-        F.count("*").alias("n_entity"), F.expr("bit_xor(xxhash64(uid))").alias("mark")).withColumn("of", F.struct("n_entity", "mark"))
-    classes = single.join(sizes, "entity").groupBy("uid").agg(F.collect_set("of").alias("classes"))
-    pairs = written(
-        held.join(classes, "uid").select(F.explode("classes").alias("of"), "terms")
-        .select("of", F.explode("terms").alias("term")).groupBy("of.n_entity", "of.mark", "term")
-        .agg(F.count("*").alias("n_both")), "disclosure-pairs")
-    terms = written(document_frequency(docs, pairs.select("term").distinct()), "disclosure-terms")
+    least, share = rule.least_documents, 2.0 ** -rule.remaining_bits
     total = float(docs.count())
-    lift = F.when(
-        F.col("n_both") >= rule.support, F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))
-    ).otherwise((F.col("n_both") * total / F.col("n_entity") + 1) / (F.col("n_term") + 1))
-    share = F.log(lift) / F.log(total / F.col("n_entity"))
-    judged = pairs.join(terms, "term").where(F.col("n_entity") < total).withColumn("share", share)
-    best = judged.where(F.col("share") >= rule.threshold).groupBy("term").agg(F.max("share").alias("share"))
-    return written(best, "disclosing-terms")
-
-
-def _with_term_spans(rows: DataFrame, new: dict[str, str], terms: DataFrame) -> tuple[DataFrame, str]:
+    single = held.select("uid", F.explode("classes").alias("class"))
+    sizes = single.groupBy("class").agg(F.count("*").alias("n_class"), F.expr("bit_xor(xxhash64(uid))").alias("mark"))
+    sizes = sizes.where((F.col("n_class") >= least) & (F.col("n_class") * 2.0 ** rule.gained_bits <= total))
+    classes = single.join(sizes, "class").select("uid", "n_class", "mark").distinct()
+    terms = held.select("uid", F.explode("terms").alias("term"))
+    near = terms.groupBy("term").agg(F.count("*").alias("n_held")).where(F.col("n_held") >= least)
+    wanted = document_frequency(docs).join(near, "term").where(lower_bound(F.col("n_held"), F.col("n_term"), rule.z) >= share)
+    wanted = written(wanted.select("term", "n_term"), "disclosure-terms")
+    pairs = terms.join(wanted, "term").join(classes, "uid").groupBy("n_class", "mark", "term", "n_term").agg(
+        F.count("*").alias("n_both"))
+    judged = pairs.withColumn("share", lower_bound(F.col("n_both"), F.col("n_term"), rule.z))
+    gained = F.log2(F.col("share") * total / F.col("n_class"))
+    best = judged.where((F.col("share") >= share) & (gained >= rule.gained_bits))
+    return written(best.groupBy("term").agg(F.max("share").alias("share")), "disclosing-terms")
+
+
+def _with_term_spans(rows: DataFrame, new: dict[str, str], terms: DataFrame, rule: Disclosure) -> tuple[DataFrame, str]:
     """``rows`` of ``locate`` with an array of the spans of disclosing terms, and that column's name.
 
     Each span has a flag that tells whether it is removed; null where there are none.
@@ -274,7 +313,7 @@ def _with_term_spans(rows: DataFrame, new: dict[str, str], terms: DataFrame) ->
     owner, added = fresh(rows, "owner", "terms")
     uses = rows.where(F.size(new["places"]) > 0).select(
         F.col(new["uid"]).alias(owner), F.explode(new["places"]).alias("p")).select(owner, "p.*")
-    span = F.struct("start", "end", (F.col("share") > 1 - 1e-9).alias("gone"))
+    span = F.struct("start", "end", (F.col("share") >= rule.remove_share).alias("gone"))
     spans = uses.join(terms, "term").groupBy(owner).agg(F.array_sort(F.collect_list(span)).alias(added))
     return rows.join(spans, rows[new["uid"]] == spans[owner], "left").drop(owner), added
 
@@ -286,10 +325,10 @@ def personal_data(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame
     (the SHA-256 of the empty text). Spans are ``kind:start:end`` in code points, end exclusive, by kind as listed,
     ``term`` last.
     """
-    pairs = disclosing_terms(docs, rule)
-    found, new = locate(docs, ["doc_id"], pairs)
-    rows, terms = _with_term_spans(found, new, pairs)
-    text = F.array_join(F.transform(terms, lambda s: F.concat_ws(":", F.lit("term"), s["start"], s["end"])), ",")
+    terms = disclosing_terms(docs, rule)
+    found, new = locate(docs, ["doc_id"], terms)
+    rows, added = _with_term_spans(found, new, terms, rule)
+    text = F.array_join(F.transform(added, lambda s: F.concat_ws(":", F.lit("term"), s["start"], s["end"])), ",")
     spans = F.concat_ws(",", F.when(F.col(new["base"]) != "", F.col(new["base"])), text)
     return rows.select(
         "doc_id", *[new[f"n_{k}"] for k in KINDS], F.sha2(F.col(new["base"]), 256).alias("base_sha256"),
@@ -312,9 +351,9 @@ def sanitised(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     No row is dropped. Texts without personal data or disclosing terms stay as they are, null included; ``n_chars``, where present, is
     the new length of a changed text.
     """
-    pairs = disclosing_terms(docs, rule)
-    found, new = locate(docs, docs.columns, pairs)
-    touched, added = _with_term_spans(found.where(F.size(new["places"]) > 0), new, pairs)
+    terms = disclosing_terms(docs, rule)
+    found, new = locate(docs, docs.columns, terms)
+    touched, added = _with_term_spans(found.where(F.size(new["places"]) > 0), new, terms, rule)
     touched = touched.select(*docs.columns, new["base"], added)
     # The many rows without such terms take no part in the join.
     rest = found.where(F.size(new["places"]) == 0).select(

@@ -5,6 +5,8 @@ import math
 import random
 import re
 
+import pytest
+
 from learnlake.llm import disclosure
 from learnlake.llm.disclosure import Disclosure
 
@@ -57,45 +59,109 @@ def corpus():
     return rows
 
 
+def brute_classes(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "email":
+        return {(kind, value.lower()), (kind, "pool", value.lower().split("@")[1])}
+    if kind == "ip":
+        return {(kind, value), (kind, "pool", tuple(value.split(".")[:3]))}
+    return {(kind, digits), (kind, "pool", digits[:6 if kind == "card" else 5])}
+
+
+def brute_places(text):
+    """(term, start, end): runs of letters and digits with a digit, and runs of letters, from two characters on."""
+    out = []
+    for m in re.finditer(r"[^\W_]{2,}", text):
+        if re.search(r"\d", m[0]):
+            out.append((m[0].lower(), *m.span()))
+        out += [(x[0].lower(), m.start() + x.start(), m.start() + x.end()) for x in re.finditer(r"[^\W\d_]{2,}", m[0])]
+    return out
+
+
 def brute_terms(rows, rule):
-    seen, of_term, of_entity, n = {}, {}, {}, len(rows)
+    """{row: spans of disclosing terms}, from sets of documents."""
+    of_term, of_class, near, spans_of = {}, {}, {}, []
     for i, (_, text) in enumerate(rows):
         text = text or ""
         spans = plain_spans(text)
-        for t in {m[0].lower() for m in re.finditer(r"[^\W\d_]{3,}", text)}:
+        spans_of.append(spans)
+        places = brute_places(text)
+        for t, _, _ in places:
             of_term.setdefault(t, set()).add(i)
-        for kind, a, b in spans:
-            of_entity.setdefault((kind, text[a:b]), set()).add(i)
-            terms = [m for m in re.finditer(r"[^\W\d_]{3,}", text)
-                     if not any(m.start() < y and x < m.end() for _, x, y in spans)]
-            before = [m for m in terms if m.start() < a][-rule.window:]
-            after = [m for m in terms if m.start() >= a][:rule.window]
-            for m in before + after:
-                seen.setdefault(((kind, text[a:b]), m[0].lower()), set()).add((i, m.span()))
+        for c in {c for kind, a, b in spans for c in brute_classes(kind, text[a:b])}:
+            of_class.setdefault(c, set()).add(i)
+        if spans:
+            near[i] = {t for t, a, b in places if not any(a < y and x < b for _, x, y in spans)}
+    found = set()
+    for c, holders in of_class.items():
+        for t in set().union(*(near[i] for i in holders)):
+            n, k = len(of_term[t]), sum(t in near[i] for i in holders)
+            p, z2 = k / n, rule.z ** 2
+            low = (p + z2 / (2 * n) - rule.z * math.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+            if low > 0 and -math.log2(low) <= rule.remaining_bits and math.log2(low * len(rows) / len(holders)) >= rule.gained_bits:
+                found.add(t)
     out = {}
-    for (entity, term), uses in seen.items():
-        both, docs = len({i for i, _ in uses}), len(of_entity[entity])
-        if both >= rule.support:
-            share = math.log(both * n / docs / len(of_term[term])) / math.log(n / docs)
-            if share >= rule.threshold:
-                for i, span in uses:
-                    out.setdefault(i, set()).add(span)
+    for i, (_, text) in enumerate(rows):
+        for t, a, b in brute_places(text or ""):
+            if t in found and not any(a < y and x < b for _, x, y in spans_of[i]):
+                out.setdefault(i, set()).add((a, b))
     return out
 
 
-def test_spans_equal_counting_by_hand(spark):
-    rows, rule = corpus(), Disclosure()
+def address_book(rnd, n):
+    """Random texts whose words go with addresses, domains, networks and number prefixes to several degrees."""
+    rows = []
+    for i in range(n):
+        words = [rnd.choice("common words about many plain things".split()) for _ in range(12)]
+        k = rnd.randrange(8)
+        entity = {0: f"user{i}@brimstone.org", 1: f"10.1.2.{i % 250}", 2: "Ann@Example.org", 3: f"+4930{i:07d}"}.get(k, "")
+        term = {0: "Brimstone", 1: "rack7b", 2: "Bo", 3: "Berlin"}.get(k, "")
+        if term and rnd.random() < 0.8:
+            words.insert(rnd.randrange(12), term)
+        if rnd.random() < 0.02:
+            words.append(rnd.choice(["Brimstone", "Berlin", "rack7b"]))
+        rows.append((i, " ".join([*words, entity, f"number{i}", rnd.choice(["user7", ""])])))
+    return rows
+
+
+def expected_spans(rows, terms):
+    out = []
+    for i, (doc_id, text) in enumerate(rows):
+        base = [f"{k}:{a}:{b}" for k, a, b in plain_spans(text or "")]
+        added = [f"term:{a}:{b}" for a, b in sorted(terms.get(i, ()))]
+        out.append((str(doc_id), hashlib.sha256(",".join(base).encode()).hexdigest(), ",".join(base + added)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("book", [False, True])
+def test_spans_equal_counting_by_hand(spark, book):
+    rows = address_book(random.Random(4), 1500) if book else corpus()
+    rule = Disclosure()
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
         "*", "1 as uid", "2 as base", "3 as contexts", "4 as terms", "5 as n_email")
     terms = brute_terms(rows, rule)
     assert terms
-    expected = []
-    for i, (doc_id, text) in enumerate(rows):
-        base = [f"{k}:{a}:{b}" for k, a, b in plain_spans(text or "")]
-        added = [f"term:{a}:{b}" for a, b in sorted(terms.get(i, ()))]
-        expected.append((str(doc_id), hashlib.sha256(",".join(base).encode()).hexdigest(), ",".join(base + added)))
-    got = disclosure.personal_data(docs, rule).collect()
-    assert sorted((str(r.doc_id), r.base_sha256, r.spans) for r in got) == sorted(expected)
+    got = disclosure.personal_data(docs.repartition(6), rule).collect()
+    assert sorted((str(r.doc_id), r.base_sha256, r.spans) for r in got) == expected_spans(rows, terms)
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_corpus(spark):
+    rows = address_book(random.Random(4), 600)
+    small = spark.createDataFrame(rows, "doc_id long, text string")
+    # Ten times as many documents that have nothing to do with the entities.
+    more = [(10_000 + i, f"other text number{i} of the corpus") for i in range(9 * len(rows))]
+    large = small.unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    one, ten = ({r.term for r in disclosure.disclosing_terms(d, Disclosure()).collect()} for d in (small, large))
+    assert one == ten and "brimstone" in one and "common" not in one
+
+
+def test_documents_with_many_entities(spark):
+    listed = " ".join(f"u{i}@host{i}.org name{i}" for i in range(600))
+    rows = [(0, listed), (1, listed + " more"), *((2 + i, "Kestrel writes kim@firm.org") for i in range(9))]
+    rows += [(100 + i, "plain words") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.base_sha256, r.spans) for r in disclosure.personal_data(docs).collect()) == expected_spans(
+        rows, brute_terms(rows, Disclosure()))
 
 
 def test_stage_rewrites_texts_only_where_needed(spark):
@@ -112,17 +178,14 @@ def test_stage_rewrites_texts_only_where_needed(spark):
     assert texts[None].text == "call [PHONE] now" and texts[52].text == "x [IP] y"
 
 
-def test_entities_of_one_or_two_documents_are_judged(spark):
+def test_one_coincidence_is_no_evidence_but_pooled_values_are(spark):
     rows = [(i, f"common words about things number {i}") for i in range(3000)]
     rows += [(3000, "common words by Quillfeather at q@example.org"), (3001, "about Brimstone 10.1.2.3 things"),
              (3002, "words Brimstone 10.1.2.3 common")]
+    rows += [(4000 + i, f"Ravenscroft of p{i}@tower.org") for i in range(4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    spans = {r.doc_id: r.spans for r in disclosure.personal_data(docs).where("spans <> ''").collect()}
-    text = dict(rows)
-    at = {i: f"term:{text[i].index(w)}:{text[i].index(w) + len(w)}" for i, w in (
-        (3000, "Quillfeather"), (3001, "Brimstone"), (3002, "Brimstone"))}
-    assert set(spans) == set(at) and all(at[i] in spans[i].split(",") for i in at)
-    assert not any(f"term:{text[3000].index(w)}:" in spans[3000] for w in ("common", "words"))
+    spans = {r.doc_id: r.spans for r in disclosure.personal_data(docs).where("spans like '%term%'").collect()}
+    assert set(spans) == {4000 + i for i in range(4)} and all("term:0:11" in s for s in spans.values())
 
 
 def test_terms_count_in_the_whole_document_and_go_everywhere(spark):
@@ -135,7 +198,15 @@ def test_terms_count_in_the_whole_document_and_go_everywhere(spark):
     assert len(out) == 10
     for i, text in out.items():
         assert "Thornapple" not in text and "ref77" not in text and "Bo" not in text, i
-        assert text.count("[TERM]") == (1 if i == 3009 else 2)
+        # "and" stands nowhere else either.
+        assert text.count("[TERM]") == (1 if i == 3009 else 5)
+
+
+def test_terms_of_much_evidence_are_removed(spark):
+    rows = [(i, f"plain words {i}") for i in range(400)] + [(1000 + i, f"see Kestrel kim@firm.org words {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in disclosure.sanitised(docs).collect()}
+    assert out[1000] == "  [EMAIL] words 0" and out[3] == "plain words 3"
 
 
 def test_long_term_runs_take_linear_time():
