@@ -83,6 +83,30 @@ def best_pattern(prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return float(best[capacity]), pattern
 
 
+def inverse_of(matrix: np.ndarray) -> np.ndarray:
+    """Inverse by elimination with row exchanges, in elementwise steps only.
+
+    The search runs in the driver, where the threads of a linear algebra library can wait for ever beside the JVM. The
+    columns are patterns with few entries, so most rows are left alone in each step.
+    """
+    n = len(matrix)
+    work = np.concatenate([matrix, np.eye(n)], axis=1)
+    for k in range(n):
+        pivot = k + int(np.abs(work[k:, k]).argmax())
+        if pivot != k:
+            work[[k, pivot]] = work[[pivot, k]]
+        work[k] /= work[k, k]
+        rows = np.flatnonzero(work[:, k])
+        rows = rows[rows != k]
+        work[rows] -= work[rows, k][:, None] * work[k]
+    return work[:, n:]
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Matrix by vector, or vector by matrix, without a linear algebra library (see ``inverse_of``)."""
+    return np.einsum("ij,j->i", a, b) if a.ndim == 2 else np.einsum("i,ij->j", a, b)
+
+
 def column_generation(demand: dict[int, int], capacity: int, most_rounds: int = 20_000) -> list[tuple[dict[int, int], int]]:
     """Patterns {size: pieces} and how often each is used, covering ``demand`` {size: pieces} exactly.
 
@@ -103,10 +127,10 @@ def column_generation(demand: dict[int, int], capacity: int, most_rounds: int =
     objective, progress = np.inf, 0
     for round_ in range(most_rounds):
         if round_ % 100 == 99:
-            inverse = np.linalg.inv(columns)
-        used = np.maximum(inverse @ shifted, 0.0)
-        duals = costs @ inverse
-        if (now := float(costs @ used)) < objective - 1e-9:
+            inverse = inverse_of(columns)
+        used = np.maximum(_times(inverse, shifted), 0.0)
+        duals = _times(costs, inverse)
+        if (now := float((costs * used).sum())) < objective - 1e-9:
             objective, progress = now, round_
         if round_ - progress > STALLED_ROUNDS:
             break
@@ -122,7 +146,7 @@ def column_generation(demand: dict[int, int], capacity: int, most_rounds: int =
             if value <= 1 + 1e-7 or np.ceil(now / value - 0.01) >= np.ceil(now - 0.01):
                 break
             entering, cost = pattern[sizes].astype(float), 1.0
-        direction = inverse @ entering
+        direction = _times(inverse, entering)
         ratios = np.full(m, np.inf)
         up = direction > TOLERANCE
         ratios[up] = used[up] / direction[up]
@@ -131,9 +155,9 @@ def column_generation(demand: dict[int, int], capacity: int, most_rounds: int =
             break
         columns[:, leaving], costs[leaving] = entering, cost
         pivot = inverse[leaving] / direction[leaving]
-        inverse -= np.outer(direction, pivot)
+        inverse -= direction[:, None] * pivot
         inverse[leaving] = pivot
-    used = np.linalg.solve(columns, need)
+    used = _times(inverse_of(columns), need)
     plan: list[tuple[dict[int, int], int]] = []
     left = {int(s): int(demand[int(s)]) for s in sizes}
     for k in np.argsort(-used):
