@@ -1,6 +1,7 @@
 """Piece-wise encoding against the library, block round trips, packing invariants."""
 
 import random
+import threading
 import zlib
 
 import numpy as np
@@ -15,13 +16,11 @@ from learnlake.llm.encoding import PieceEncoder
 
 BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 PARTS = ["a", "The", " ", "  ", "\n", "\t", "é", "É", "ß", "'", "'s", "'T", "don't", "12", "²", "٣", ".", "..", "###",
-         "漢字", "\xa0", "\x1c", "\x85", "é", "́", "İ", "ΣΑΣ", "<|endoftext|>", "\U0001f600", "µ", "\r\n", "x" * 30]
+         "漢字", "\xa0", "\x1c", "\x85", "é", "́", "İ", "ΣΑΣ", "<|endoftext|>", "<|startoftext|>", "<|end", "|>", "\U0001f600", "µ", "\r\n", "x" * 30]
 
 
 def library(path):
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 def le(ids):
@@ -32,6 +31,9 @@ def le(ids):
 def test_pieces_equal_the_library(path):
     rnd = random.Random(1)
     texts = ["".join(rnd.choice(PARTS) for _ in range(rnd.randrange(14))) for _ in range(5000)]
+    texts += ["".join(rnd.choice(PARTS[:4] + PARTS[12:15]) for _ in range(rnd.randrange(40))) for _ in range(2000)]
+    texts += ["a <|endoftext|> b", "<|startoftext|><|endoftext|>", "Some words,\nand 12 more.\n", "line\n\nline\n \n"]
+    texts += ["some words, " * 200_000, "é " * 600_000 + "<|endoftext|>  x " * 3, "a" * 1_100_000 + " b"]
     texts += ["a" * 5000 + "." * 5000, " ".join(["word"] * 3000), "!" * 40 + "é"]
     expected = library(path).encode_batch(texts, add_special_tokens=False)
     for text, got, want in zip(texts, PieceEncoder(path).encode(texts), expected, strict=True):
@@ -81,6 +83,24 @@ def test_files_give_back_every_document(spark, monkeypatch):
     assert token_blocks.round_trip(frame(spark).limit(0), BYTES).count() == 0
 
 
+@pytest.mark.parametrize("classes", [100, 300])
+def test_column_generation_ends_beside_a_session(spark, classes):
+    """Threads of a linear algebra library may wait for ever in the driver; none is used there."""
+    spark.range(10).count()
+    rnd = random.Random(classes)
+    demand = {s: rnd.randrange(1, 400) for s in rnd.sample(range(1, 513), classes)}
+    done = []
+    search = threading.Thread(target=lambda: done.append(packing.column_generation(demand, 512, 1500)), daemon=True)
+    search.start()
+    search.join(120)
+    assert done and sum(s * a * n for p, n in done[0] for s, a in p.items()) == sum(s * n for s, n in demand.items())
+
+
+def test_inverse():
+    matrix = np.random.default_rng(1).integers(0, 4, (60, 60)) + 5.0 * np.eye(60)[::-1]
+    assert np.allclose(packing.inverse_of(matrix) @ matrix, np.eye(60))
+
+
 def test_column_generation_covers_demand_exactly():
     rnd = random.Random(0)
     for _ in range(60):
