@@ -196,16 +196,23 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 def one_per_group(docs: DataFrame) -> DataFrame:
     """Documents, all columns, one of each group of near-duplicates: the row with the smallest id.
 
-    Rows that share the smallest id are told apart by a hash of all columns; of identical rows one stays. A null id
-    comes last.
+    Rows that share the smallest id are told apart by hashes of all columns; of identical rows one stays. A null id
+    comes last. Rows are known by two hashes of their columns, and only the keys of rows that go are joined with the
+    documents. Their number grows with the table, so both sides are shuffled whatever its size; the documents are
+    not sorted for that.
     """
-    unique, digest, root = fresh(docs, "uid", "digest", "group_root")
-    # Written once: row numbers must be the same when the chosen rows are fetched.
-    marked = written(docs.withColumn(unique, F.monotonically_increasing_id()), "simhash-rows")
-    prints = written(
-        fingerprints(marked.withColumn(digest, F.xxhash64(*docs.columns)), [unique, "doc_id", digest]), "simhash")
+    k1, k2 = keys = fresh(docs, "k1", "k2")
+    keyed = docs.withColumn(k1, F.xxhash64(*docs.columns)).withColumn(k2, F.hash(*reversed(docs.columns)))
+    prints = written(fingerprints(keyed, [*keys, "doc_id"]), "simhash")
     roots = connected_components(similar_fingerprints(prints.select("fp").distinct()), "a", "b")
     grouped = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rank = F.struct(F.isnull("doc_id"), "doc_id", digest, unique)
-    best = grouped.groupBy(F.coalesce("root", "fp").alias(root)).agg(F.min(rank).alias("best"))
-    return marked.join(best.select(F.col(f"best.{unique}").alias(unique)), unique, "left_semi").drop(unique)
+    rank = F.struct(F.isnull("doc_id"), "doc_id", k1, k2)
+    best = grouped.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(rank).alias("best"))
+    best = best.select(F.col(f"best.{k1}").alias(k1), F.col(f"best.{k2}").alias(k2), F.lit(True).alias("first"))
+    copies = prints.groupBy(*keys).agg(F.count("*").alias("n")).join(best, keys, "left")
+    repeated = written(copies.where("first AND n > 1").select(*keys), "simhash-repeated")
+    gone = written(copies.where("first IS NULL OR n > 1").select(*keys), "simhash-gone")
+    out = keyed.join(gone.hint("shuffle_hash"), keys, "left_anti")
+    if not repeated.isEmpty():
+        out = out.unionByName(keyed.join(repeated, keys, "left_semi").dropDuplicates(keys))
+    return out.drop(*keys)
