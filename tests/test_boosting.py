@@ -1,5 +1,7 @@
 """Histogram boosting against trees found by trying every split, and its properties as a Spark job."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -146,3 +148,36 @@ def test_tree_margins():
     tree = Tree([0, -1, 1, -1, -1], [2, -1, 0, -1, -1], [1, -1, 3, -1, -1], [2, -1, 4, -1, -1], [0.0, 1.0, 0.0, 2.0, 3.0], [1.0] * 5, [1.0] * 5)
     assert tree.depth == 2
     assert tree.margins(np.array([[2, 3, 3], [0, 0, 1]])).tolist() == [1.0, 2.0, 3.0]
+
+
+@pytest.mark.parametrize("settings", [
+    Boosting(rounds=20, step=0.2, max_depth=3),
+    Boosting(rounds=6, step=0.3, max_depth=62, max_leaves=15, min_rows=5, min_hessian=0.0),
+])
+def test_spread_models_equal_held_ones_without_waiting(spark, monkeypatch, settings):
+    rows = table(spark, 6)
+    roles = ["r0", "r1"]
+    rows = rows.withColumns({r: F.when(F.col("id") % 3 == k, 0).otherwise(F.col("role")) for k, r in enumerate(roles)})
+    # A category: its two bins are looked at apart from the other columns.
+    rows = rows.withColumn("x", F.concat("x", F.array((F.col("id") % 2).cast("double")))).repartition(6).cache()
+    held, _, losses = boosting.fit_many(rows, "x", "label", roles, 7, settings)
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", 1000)
+    monkeypatch.setattr(boosting, "ROUNDS_PER_LINEAGE", 11)
+    start = time.monotonic()
+    spread, _, more = boosting.fit_many(rows, "x", "label", roles, 7, settings)
+    seconds = time.monotonic() - start
+    assert all(same(a, b) for a, b in zip(held, spread, strict=True)) and np.allclose(losses, more)
+    # At least 60 exchanges of the first setting, a second each when barrier tasks waited for one another.
+    assert seconds < 50
+
+
+def test_splits_of_two_bins_equal_those_of_padded_columns():
+    rnd = np.random.default_rng(7)
+    sizes, features = np.array([2, 9, 2, 2, 5]), np.arange(5)
+    hist = np.abs(rnd.normal(size=(12, 5, 9, 3))) * 5
+    hist[..., 0] -= 3
+    for f, n in enumerate(sizes):
+        hist[:, f, n:] = 0
+    s = Boosting(min_hessian=0.0)
+    found, plain = boosting.best_splits(hist, features, s, sizes), boosting.best_splits(hist, features, s)
+    assert found == plain and {f for _, f, _ in found} - {1, 4}
