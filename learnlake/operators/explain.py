@@ -96,22 +96,37 @@ def _leaves(nodes: Mapping[int, object], scale: float) -> Iterator[Leaf]:
             pending.append((child, path | {feature: (*narrowed, cover * child.rawCount / node.rawCount)}))
 
 
-def _attribute(leaf: Leaf, x: np.ndarray, nodes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Shapley values of one leaf's features for all rows of ``x``.
+def _patterns(leaf: Leaf, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the leaf's ranges hold a row: patterns of bits, and the place of every row's pattern among them.
+
+    A path with few features has all its patterns listed; of a long one only those that occur.
+    """
+    used = len(leaf.features)
+    code = np.zeros(columns.shape[1], np.uint8 if used <= 8 else np.int64)
+    for j, (f, low, high) in enumerate(zip(leaf.features, leaf.low, leaf.high, strict=True)):
+        inside = columns[f] <= high if high < np.inf else columns[f] > low
+        if high < np.inf and low > -np.inf:
+            inside &= columns[f] > low
+        code |= inside.astype(code.dtype) << code.dtype.type(j)
+    if used <= 8:
+        return np.arange(1 << used), code
+    return np.unique(code, return_inverse=True)
+
+
+def _attribute(leaf: Leaf, columns: np.ndarray, nodes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Shapley values (feature, row) of one leaf's features; ``columns`` has a row per feature.
 
     With the leaf's features present at rate t, the others' product is a polynomial in t, and the Shapley
     average over coalitions is its integral over [0, 1], which Gauss-Legendre nodes give exactly.
     """
-    values = x[:, leaf.features]
-    inside = ((values > leaf.low) & (values <= leaf.high)).astype(float)
-    code = inside.astype(np.int64) @ (1 << np.arange(len(leaf.features)))
-    patterns, row_of = np.unique(code, return_inverse=True)
+    patterns, row_of = _patterns(leaf, columns)
     hit = (patterns[:, None] >> np.arange(len(leaf.features))) & 1
     factor = hit[:, :, None] * nodes + leaf.cover[None, :, None] * (1.0 - nodes)
     ones = np.ones_like(factor[:, :1])
     before = np.cumprod(np.concatenate([ones, factor[:, :-1]], axis=1), axis=1)
     after = np.cumprod(np.concatenate([ones, factor[:, :0:-1]], axis=1), axis=1)[:, ::-1]
-    return (leaf.value * (hit - leaf.cover) * ((before * after) @ weights))[row_of]
+    values = leaf.value * (hit - leaf.cover) * ((before * after) @ weights)
+    return np.take(np.ascontiguousarray(values.T), row_of, axis=1)
 
 
 def explain_tree(
@@ -134,10 +149,11 @@ def explain_tree(
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = np.vstack(batch["x"].to_list()) if len(batch) else np.empty((0, width))
-            total = np.zeros((len(x), width))
+            columns, total = np.ascontiguousarray(x.T), np.zeros((width, len(x)))
             for leaf in splitting:
-                total[:, leaf.features] += _attribute(leaf, x, nodes, weights)
-            yield batch[[*keys, SCORE]].assign(values=list(total))
+                for f, values in zip(leaf.features, _attribute(leaf, columns, nodes, weights), strict=True):
+                    total[f] += values
+            yield batch[[*keys, SCORE]].assign(values=list(np.ascontiguousarray(total.T)))
 
     rows = model.transform(df).select(
         *keys, vector_to_array("probability")[1].alias(SCORE), vector_to_array("features").alias("x"))

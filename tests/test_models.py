@@ -201,3 +201,22 @@ def test_boosting_keeps_many_rounds_on_a_weak_additive_signal(spark):
 
     one = train.fit_boosted(marked.drop(train.VALIDATION), {"max_depth": 2, "step": 0.1, "rounds": 1})
     assert loss(model) < loss(one) - 0.02
+
+
+@pytest.mark.parametrize("used", [3, 8, 11])
+def test_attribution_of_a_leaf_by_patterns(used):
+    """Listed patterns of a short path and found ones of a long path, against every row's own product."""
+    rnd = np.random.default_rng(used)
+    low = np.where(rnd.random(used) < 0.5, -np.inf, -0.5)
+    high = np.where(low == -np.inf, 0.8, np.where(rnd.random(used) < 0.5, np.inf, 0.9))
+    leaf = explain.Leaf(1.5, np.arange(used), low, high, rnd.uniform(0.2, 0.9, used))
+    columns = rnd.normal(size=(used, 40))
+    nodes, weights = np.polynomial.legendre.leggauss(used // 2 + 1)
+    nodes, weights = (nodes + 1) / 2, weights / 2
+    found = explain._attribute(leaf, columns, nodes, weights)
+    for i in range(40):
+        hit = (columns[:, i] > low) & (columns[:, i] <= high)
+        factor = hit[:, None] * nodes + leaf.cover[:, None] * (1 - nodes)
+        for j in range(used):
+            rest = np.delete(factor, j, axis=0).prod(axis=0) @ weights
+            assert found[j, i] == pytest.approx(1.5 * (hit[j] - leaf.cover[j]) * rest, abs=1e-12)
