@@ -1,5 +1,7 @@
 """Recurrent classifier: gradients against differences, masking, and order that carries the label."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -91,3 +93,25 @@ def test_no_sequences(spark):
     rows = spark.range(0).selectExpr("array(double(1)) AS x", "1 AS y", "1 AS role")
     with pytest.raises(ValueError, match="no sequences"):
         recurrent.fit(rows, "x", "y", "role", Recurrent(length=1))
+
+
+def test_many_steps_of_several_tasks_take_no_second_each(spark, monkeypatch):
+    monkeypatch.setattr(recurrent, "ROWS_PER_TASK", 200)
+    rows = spark.range(600).selectExpr(
+        "transform(sequence(1, 4), i -> double(if(i = 1 + id % 2, 1, if(i = 4, 0, 0.5)))) AS x", "int(id % 2) AS y",
+        "if(id % 5 = 0, 2, 1) AS role")
+    start = time.monotonic()
+    _, history = recurrent.fit(rows, "x", "y", "role", Recurrent(
+        length=4, hidden=8, dense=4, epochs=4, batch=20, most_steps=25, step=0.02, dropout=0.0, recurrent_dropout=0.0))
+    # 96 steps, a second each when barrier tasks waited for one another.
+    assert time.monotonic() - start < 60 and history[-1] > 0.9
+
+
+def test_only_active_steps_are_computed():
+    x, _ = sequences(6, 9, 5, 2)
+    x[0], x[1, 1:] = 0, 0
+    w, kept = recurrent.initial_weights(2, SMALL), []
+    alone = [recurrent.forward(w, x[i:i + 1][:, (x[i] != 0).any(axis=1)])[0] for i in range(9)]
+    assert np.allclose(recurrent.forward(w, x, keep=kept), alone)
+    # Rows computed over all steps: those that are active, of nine times five.
+    assert sum(step[0] for step in kept[:-1]) == (x != 0).any(axis=2).sum() < 45
