@@ -157,7 +157,8 @@ def similar_fingerprints(distinct: DataFrame, block_rows: int = BLOCK_ROWS) -> D
     postings = distinct.select(F.explode(lists).alias("list"), "fp")
     sizes = postings.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / block_rows).cast("int")
-    dealt = postings.join(sizes, "list").select(
+    # Spark counts an exploded row as one of its parts would be: by that either side could seem small enough to be sent whole.
+    dealt = postings.join(sizes.hint("merge"), "list").select(
         "list", "fp", blocks.alias("blocks"), F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("block"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = dealt.select("list", "fp", "block", "blocks", other.alias("other")).select(

@@ -93,6 +93,13 @@ def test_links_connect_all_close_pairs(spark, block_rows):
     assert [least[find(i)] for i in range(len(fps))] == expected
 
 
+def test_posting_lists_are_never_sent_whole(spark):
+    """An exploded table looks as small as what it came from, so its size must not decide about a broadcast."""
+    distinct = spark.range(1000).selectExpr("xxhash64(id) AS fp")
+    plan = simhash.similar_fingerprints(distinct)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 def test_one_per_group_keeps_whole_rows(spark):
     rows = [(3, "a b c d e", 1), (1, "a b c d e", 2), (1, "a b c d e", 2), (None, "a b c d e", 4), (9, "x y", 5),
             (None, "q", 6), (7, None, 7), (8, "", 8)]
