@@ -181,3 +181,33 @@ def test_splits_of_two_bins_equal_those_of_padded_columns():
     s = Boosting(min_hessian=0.0)
     found, plain = boosting.best_splits(hist, features, s, sizes), boosting.best_splits(hist, features, s)
     assert found == plain and {f for _, f, _ in found} - {1, 4}
+
+
+def test_columns_of_few_bins_are_counted_together():
+    rnd = np.random.default_rng(8)
+    sizes = [2] * 17 + [64, 1, 5, 256]
+    bins = np.stack([rnd.integers(0, n, 9000) for n in sizes])
+    packed = boosting.Packing(sizes).packed(bins)
+    assert len(packed.codes) == 5 and packed.shape == bins.shape
+    g, h = boosting._slopes(rnd.integers(0, 2, 9000), rnd.normal(size=9000))
+    features = np.array([0, 3, 16, 17, 18, 19, 20])
+    for rows in (rnd.permutation(9000), rnd.permutation(9000)[:500]):
+        groups = [(rows[:300], g, h), (rows[300:], g, h)]
+        found = boosting._count(packed, groups, features, 256)
+        for k, (part, _, _) in enumerate(groups):
+            for i, f in enumerate(features):
+                assert (boosting._at(packed, f, part) == bins[f, part]).all()
+                plain = [np.bincount(bins[f, part], w, 256) for w in (g[part], h[part], None)]
+                # To the last bit, whatever the order of the rows.
+                assert (found[k, i] == np.stack(plain, axis=1)).all()
+
+
+def test_borders_that_part_nothing_are_left_out(spark):
+    rows = spark.range(2000).select(F.array(
+        (F.col("id") % 2).cast("double"), (F.col("id") % 200 == 0).cast("double"), F.lit(7.0), F.col("id").cast("double"),
+        F.when(F.col("id") % 2 == 0, float("nan")).otherwise(1.0)).alias("x"))
+    edges = boosting.bin_edges(rows, "x", 5, 16)
+    assert [e.tolist() for e in edges[:3]] == [[0.0], [0.0], []]
+    assert len(edges[3]) == 15
+    # NaN lies above the border.
+    assert edges[4].tolist() == [1.0]
