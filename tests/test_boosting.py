@@ -211,3 +211,21 @@ def test_borders_that_part_nothing_are_left_out(spark):
     assert len(edges[3]) == 15
     # NaN lies above the border.
     assert edges[4].tolist() == [1.0]
+
+
+@pytest.mark.parametrize("most, settings", [
+    (1500, Boosting(rounds=4, step=0.3, max_depth=4)),
+    (400, Boosting(rounds=4, step=0.3, max_depth=62, max_leaves=31, min_rows=5)),
+])
+def test_rows_of_few_tasks_stay_together(spark, monkeypatch, most, settings):
+    """A job a step takes longer than the rows, most of all when trees grow leaf by leaf."""
+    used, spread = [], boosting._Spread
+    monkeypatch.setattr(boosting, "_Spread", lambda *args: used.append(1) or spread(*args))
+    rows = table(spark, 9).repartition(6)
+    alone, _, _ = boosting.fit(rows, "x", "label", "role", 6, settings)
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", most)
+    assert same(alone, boosting.fit(rows, "x", "label", "role", 6, settings)[0]) and not used
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", most // 2)
+    apart, _, _ = boosting.fit(rows, "x", "label", "role", 6, settings)
+    # To the last bit.
+    assert used and [t.value for t in apart] == [t.value for t in alone] and [t.bin for t in apart] == [t.bin for t in alone]
