@@ -11,7 +11,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from learnlake.operators.train import SCORE
 
 CONTRIBUTIONS = "array<struct<feature: string, contribution: double>>"
+# Conditions of leaves that are looked up together: their truth values fit a byte.
+CONDITIONS = 8
+# Bytes of looked-up values that a task keeps; those of larger models are computed anew for every batch.
+KEPT_BYTES = 128 << 20
 
 
 class Leaf(NamedTuple):
@@ -120,13 +124,101 @@ def _attribute(leaf: Leaf, columns: np.ndarray, nodes: np.ndarray, weights: np.n
     average over coalitions is its integral over [0, 1], which Gauss-Legendre nodes give exactly.
     """
     patterns, row_of = _patterns(leaf, columns)
+    return np.take(_pattern_values(leaf, patterns, nodes, weights), row_of, axis=1)
+
+
+def _pattern_values(leaf: Leaf, patterns: np.ndarray, nodes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Shapley values (feature, pattern) of one leaf's features; bit j of a pattern tells whether range j holds the row."""
     hit = (patterns[:, None] >> np.arange(len(leaf.features))) & 1
     factor = hit[:, :, None] * nodes + leaf.cover[None, :, None] * (1.0 - nodes)
     ones = np.ones_like(factor[:, :1])
     before = np.cumprod(np.concatenate([ones, factor[:, :-1]], axis=1), axis=1)
     after = np.cumprod(np.concatenate([ones, factor[:, :0:-1]], axis=1), axis=1)[:, ::-1]
     values = leaf.value * (hit - leaf.cover) * ((before * after) @ weights)
-    return np.take(np.ascontiguousarray(values.T), row_of, axis=1)
+    return np.ascontiguousarray(values.T)
+
+
+class Group(NamedTuple):
+    """Leaves with few conditions ``feature <= border`` between them, whose values are looked up at once."""
+
+    leaves: list[Leaf]
+    conditions: list[tuple[int, float]]
+
+
+def _conditions(leaf: Leaf) -> set[tuple[int, float]]:
+    ranges = zip(leaf.features.tolist(), leaf.low.tolist(), leaf.high.tolist(), strict=True)
+    return {(f, border) for f, low, high in ranges for border in (low, high) if abs(border) < np.inf}
+
+
+def grouped(leaves: Sequence[Leaf]) -> tuple[list[Group], list[Leaf]]:
+    """Groups of leaves that follow each other, as those of a subtree do, and leaves with more conditions than a byte has bits."""
+    groups, long = [], []
+    for leaf in leaves:
+        own = _conditions(leaf)
+        if len(own) > CONDITIONS:
+            long.append(leaf)
+        elif groups and len(own.union(groups[-1].conditions)) <= CONDITIONS:
+            groups[-1].leaves.append(leaf)
+            groups[-1].conditions.extend(sorted(own.difference(groups[-1].conditions)))
+        else:
+            groups.append(Group([leaf], sorted(own)))
+    return groups, long
+
+
+def _group_values(group: Group, nodes: np.ndarray, weights: np.ndarray) -> tuple[list[int], np.ndarray]:
+    """Features of a group, and the sums of its leaves' Shapley values (feature, code); bit k tells whether condition k is met."""
+    features = sorted({f for f, _ in group.conditions})
+    codes = np.arange(1 << len(group.conditions))
+    met = {c: (codes >> k & 1).astype(bool) for k, c in enumerate(group.conditions)}
+    met |= {(f, border): np.full(len(codes), border > 0) for f in features for border in (-np.inf, np.inf)}
+    out = np.zeros((len(features), len(codes)))
+    for leaf in group.leaves:
+        pattern = np.zeros(len(codes), np.int64)
+        for j, (f, low, high) in enumerate(zip(leaf.features.tolist(), leaf.low.tolist(), leaf.high.tolist(), strict=True)):
+            pattern |= (met[f, high] & ~met[f, low]).astype(np.int64) << j
+        values = _pattern_values(leaf, np.arange(1 << len(leaf.features)), nodes, weights)
+        out[np.searchsorted(features, leaf.features)] += values[:, pattern]
+    return features, out
+
+
+class _Attribution:
+    """Contributions of all leaves to rows."""
+
+    def __init__(self, leaves: Sequence[Leaf], nodes: np.ndarray, weights: np.ndarray) -> None:
+        self.nodes, self.weights = nodes, weights
+        self.groups, self.long = grouped([leaf for leaf in leaves if len(leaf.features)])
+        borders = sorted({c for g in self.groups for c in g.conditions})
+        self.borders = {f: np.array([b for g, b in borders if g == f]) for f in {f for f, _ in borders}}
+        self.places = {(f, b): k for f, found in self.borders.items() for k, b in enumerate(found.tolist())}
+        self.kept: dict[int, tuple[list[int], np.ndarray]] = {}
+        self.room = KEPT_BYTES
+
+    def _values(self, k: int) -> tuple[list[int], np.ndarray]:
+        if k in self.kept:
+            return self.kept[k]
+        found = _group_values(self.groups[k], self.nodes, self.weights)
+        if found[1].nbytes <= self.room:
+            self.kept[k], self.room = found, self.room - found[1].nbytes
+        return found
+
+    def of(self, columns: np.ndarray) -> np.ndarray:
+        """Contributions (feature, row) to rows given by ``columns``, which has a row per feature."""
+        total, n = np.zeros(columns.shape), columns.shape[1]
+        # A value is at most the k-th border where its place is at most k.
+        rank = {f: np.searchsorted(b, columns[f], "left").astype(np.min_scalar_type(len(b))) for f, b in self.borders.items()}
+        one, found = np.empty(n, np.uint8), np.empty(n)
+        for k, group in enumerate(self.groups):
+            code = np.zeros(n, np.uint8)
+            for bit, (f, border) in enumerate(group.conditions):
+                np.left_shift((rank[f] <= rank[f].dtype.type(self.places[f, border])).view(np.uint8), np.uint8(bit), out=one)
+                code |= one
+            place, (features, values) = code.astype(np.intp), self._values(k)
+            for f, by_code in zip(features, values, strict=True):
+                total[f] += np.take(by_code, place, out=found, mode="clip")
+        for leaf in self.long:
+            for f, values in zip(leaf.features, _attribute(leaf, columns, self.nodes, self.weights), strict=True):
+                total[f] += values
+        return total
 
 
 def explain_tree(
@@ -143,24 +235,23 @@ def explain_tree(
     longest = max((len(leaf.features) for leaf in leaves), default=0)
     nodes, weights = np.polynomial.legendre.leggauss(longest // 2 + 1)
     nodes, weights = (nodes + 1) / 2, weights / 2
-    splitting = [leaf for leaf in leaves if len(leaf.features)]
     width = len(names)
 
-    def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def attribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attribution = _Attribution(leaves, nodes, weights)
         for batch in batches:
-            x = np.vstack(batch["x"].to_list()) if len(batch) else np.empty((0, width))
-            columns, total = np.ascontiguousarray(x.T), np.zeros((width, len(x)))
-            for leaf in splitting:
-                for f, values in zip(leaf.features, _attribute(leaf, columns, nodes, weights), strict=True):
-                    total[f] += values
-            yield batch[[*keys, SCORE]].assign(values=list(np.ascontiguousarray(total.T)))
+            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, width)
+            total = np.ascontiguousarray(attribution.of(np.ascontiguousarray(x.T)).T)
+            values = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * width, total.ravel())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in (*keys, SCORE)], values], names=[*keys, SCORE, "values"])
 
     rows = model.transform(df).select(
         *keys, vector_to_array("probability")[1].alias(SCORE), vector_to_array("features").alias("x"))
     schema = ", ".join([
         *(f"`{c}` {kind}" for c, kind in df.select(*keys).dtypes), f"{SCORE} double, values array<double>"])
     named = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("values").alias("contribution"))
-    explained = rows.mapInPandas(attribute, schema)
+    explained = rows.mapInArrow(attribute, schema)
     return explained.select(
         *keys, SCORE, F.lit(base).alias("base_value"), named.cast(CONTRIBUTIONS).alias("contributions"))
 

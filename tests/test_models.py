@@ -220,3 +220,38 @@ def test_attribution_of_a_leaf_by_patterns(used):
         for j in range(used):
             rest = np.delete(factor, j, axis=0).prod(axis=0) @ weights
             assert found[j, i] == pytest.approx(1.5 * (hit[j] - leaf.cover[j]) * rest, abs=1e-12)
+
+
+def test_leaves_are_looked_up_in_groups(monkeypatch):
+    """A whole tree's leaves, eight conditions at a time, against leaf by leaf; kept or computed anew."""
+    rnd = np.random.default_rng(12)
+    leaves = []
+
+    def grow(depth, path):
+        if depth == 7:
+            used = sorted(path)
+            ranges = np.array([path[f] for f in used])
+            leaves.append(explain.Leaf(rnd.normal(), np.array(used), ranges[:, 0], ranges[:, 1], ranges[:, 2]))
+            return
+        f, border, share = int(rnd.integers(0, 12)), float(rnd.normal()), rnd.uniform(0.2, 0.8)
+        low, high, cover = path.get(f, (-np.inf, np.inf, 1.0))
+        border = border if low < border < high else (low + min(high, low + 1) if low > -np.inf else high - 1) / (2 if low > -np.inf else 1)
+        grow(depth + 1, path | {f: (low, border, cover * share)})
+        grow(depth + 1, path | {f: (border, high, cover * (1 - share))})
+
+    grow(0, {})
+    nodes, weights = np.polynomial.legendre.leggauss(5)
+    nodes, weights = (nodes + 1) / 2, weights / 2
+    columns = rnd.normal(size=(12, 500))
+    expected = np.zeros((12, 500))
+    for leaf in leaves:
+        for f, values in zip(leaf.features, explain._attribute(leaf, columns, nodes, weights), strict=True):
+            expected[f] += values
+    groups, long = explain.grouped(leaves)
+    assert not long and len(leaves) == 128 and len(groups) <= 40
+    for kept in (1 << 30, 0):
+        monkeypatch.setattr(explain, "KEPT_BYTES", kept)
+        assert np.allclose(explain._Attribution(leaves, nodes, weights).of(columns), expected, atol=1e-12)
+    monkeypatch.setattr(explain, "CONDITIONS", 5)
+    assert explain.grouped(leaves)[1]
+    assert np.allclose(explain._Attribution(leaves, nodes, weights).of(columns), expected, atol=1e-12)
