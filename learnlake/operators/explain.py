@@ -24,6 +24,8 @@ CONTRIBUTIONS = "array<struct<feature: string, contribution: double>>"
 CONDITIONS = 8
 # Bytes of looked-up values that a task keeps; those of larger models are computed anew for every batch.
 KEPT_BYTES = 128 << 20
+# Rows of a batch that are worth computing the values of all groups; fewer are looked up leaf by leaf.
+GROUPED_ROWS = 8_192
 
 
 class Leaf(NamedTuple):
@@ -108,7 +110,8 @@ def _patterns(leaf: Leaf, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     used = len(leaf.features)
     code = np.zeros(columns.shape[1], np.uint8 if used <= 8 else np.int64)
     for j, (f, low, high) in enumerate(zip(leaf.features, leaf.low, leaf.high, strict=True)):
-        inside = columns[f] <= high if high < np.inf else columns[f] > low
+        # A NaN is above every border, as in the model.
+        inside = columns[f] <= high if high < np.inf else ~(columns[f] <= low)
         if high < np.inf and low > -np.inf:
             inside &= columns[f] > low
         code |= inside.astype(code.dtype) << code.dtype.type(j)
@@ -186,7 +189,8 @@ class _Attribution:
 
     def __init__(self, leaves: Sequence[Leaf], nodes: np.ndarray, weights: np.ndarray) -> None:
         self.nodes, self.weights = nodes, weights
-        self.groups, self.long = grouped([leaf for leaf in leaves if len(leaf.features)])
+        self.leaves = [leaf for leaf in leaves if len(leaf.features)]
+        self.groups, self.long = grouped(self.leaves)
         borders = sorted({c for g in self.groups for c in g.conditions})
         self.borders = {f: np.array([b for g, b in borders if g == f]) for f in {f for f, _ in borders}}
         self.places = {(f, b): k for f, found in self.borders.items() for k, b in enumerate(found.tolist())}
@@ -204,6 +208,8 @@ class _Attribution:
     def of(self, columns: np.ndarray) -> np.ndarray:
         """Contributions (feature, row) to rows given by ``columns``, which has a row per feature."""
         total, n = np.zeros(columns.shape), columns.shape[1]
+        if n < GROUPED_ROWS and not self.kept:
+            return self._by_leaf(self.leaves, columns, total)
         # A value is at most the k-th border where its place is at most k.
         rank = {f: np.searchsorted(b, columns[f], "left").astype(np.min_scalar_type(len(b))) for f, b in self.borders.items()}
         one, found = np.empty(n, np.uint8), np.empty(n)
@@ -215,7 +221,10 @@ class _Attribution:
             place, (features, values) = code.astype(np.intp), self._values(k)
             for f, by_code in zip(features, values, strict=True):
                 total[f] += np.take(by_code, place, out=found, mode="clip")
-        for leaf in self.long:
+        return self._by_leaf(self.long, columns, total)
+
+    def _by_leaf(self, leaves: Sequence[Leaf], columns: np.ndarray, total: np.ndarray) -> np.ndarray:
+        for leaf in leaves:
             for f, values in zip(leaf.features, _attribute(leaf, columns, self.nodes, self.weights), strict=True):
                 total[f] += values
         return total

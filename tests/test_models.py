@@ -243,13 +243,15 @@ def test_leaves_are_looked_up_in_groups(monkeypatch):
     nodes, weights = np.polynomial.legendre.leggauss(5)
     nodes, weights = (nodes + 1) / 2, weights / 2
     columns = rnd.normal(size=(12, 500))
+    columns[3, :40] = np.nan
     expected = np.zeros((12, 500))
     for leaf in leaves:
         for f, values in zip(leaf.features, explain._attribute(leaf, columns, nodes, weights), strict=True):
             expected[f] += values
     groups, long = explain.grouped(leaves)
     assert not long and len(leaves) == 128 and len(groups) <= 40
-    for kept in (1 << 30, 0):
+    for rows, kept in ((501, 1 << 30), (0, 1 << 30), (0, 0)):
+        monkeypatch.setattr(explain, "GROUPED_ROWS", rows)
         monkeypatch.setattr(explain, "KEPT_BYTES", kept)
         assert np.allclose(explain._Attribution(leaves, nodes, weights).of(columns), expected, atol=1e-12)
     monkeypatch.setattr(explain, "CONDITIONS", 5)
